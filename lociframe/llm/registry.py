@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .embedding_dedup import op7_embedding_dedup
 from .exact_dedup import op3_exact_dedup, op3_sql
 from .mixing import op4_mix_sources
 from .packing import op1_best_fit_packing
+from .quality import op9_quality
+from .simhash import op6_simhash
 from .token_files import op2_token_files
+from .toxicity import op8_toxicity
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_token_files, op3_exact_dedup, op4_mix_sources)}
+_ALL = (op1_best_fit_packing, op2_token_files, op3_exact_dedup, op4_mix_sources, op6_simhash, op7_embedding_dedup, op8_toxicity, op9_quality)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 SQL: dict[str, str] = {"op3_exact_dedup": op3_sql()}
