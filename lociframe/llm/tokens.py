@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
 #: Where white space stands alone, no token and no rule of these vocabularies reaches over the end of a word, so a text's
 #: ids are those of its words, each with the white space before it. Other texts are encoded whole.
 TWO_SPACES = re.compile(r"\s\s")
-MEMO_WORDS, MEMO_CHARS, BATCH = 300_000, 48, 256
+MEMO_WORDS, MEMO_CHARS, BATCH, JOINED, SIGHTED = 450_000, 48, 256, 1000, 1 << 22
+#: Both vocabularies cut between letters and a run of these, which is a token's piece of its own (an apostrophe is not).
+MARKS = string.punctuation.replace("'", "")
 ID = np.dtype("<u4")
 
 
@@ -27,31 +30,77 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.sighted, self.sightings = bytearray(SIGHTED), 0  # a word enters the memo when it is met again
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends = bool(suffix)  # else a word begins with a blank
+        self.line = " " if self.ends else " \n"  # with word ends, white space leaves no trace
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for t, i in vocabulary.items() if (t.endswith(suffix) if suffix else t.startswith("\u0120"))]] = True
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters only, as they are behind a blank: one call for many, cut at the words' edge tokens."""
+        out = []
+        for at in range(0, len(words), JOINED):
+            part = words[at : at + JOINED]
+            ids = np.frombuffer(self.whole([" " + " ".join(part)])[0], ID)
+            edges = np.flatnonzero(self.edge[ids])
+            if len(edges) != len(part):
+                out += self.whole([" " + w for w in part])
+                continue
+            cuts = [0, *(4 * (edges + 1)).tolist()] if self.ends else [*(4 * edges).tolist(), 4 * len(ids)]
+            held = ids.tobytes()
+            out += [held[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return out
+
     def batch(self, texts: list[str]) -> list[bytes]:
-        words = [None if TWO_SPACES.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
-        seen = set(chain.from_iterable(w[1:] for w in words if w))
-        unseen = seen.difference(self.young)
-        new = []
-        if len(self.young) + len(unseen) > MEMO_WORDS:
-            self.young, self.old = {}, self.young
-            unseen = seen
+        words = [None if TWO_SPACES.search(t) else t.replace("\n", self.line).split(" ") for t in texts]
+        unseen = set(chain.from_iterable(w[1:] for w in words if w)).difference(self.memo)
+        found: dict[str, bytes] = {}
+        marked, plain, new = [], set(), []
         for w in unseen:
-            if (ids := self.old.get(w)) is None:
+            letters = w.rstrip(MARKS)
+            if not letters.isalpha():
                 new.append(w)
+            elif len(letters) == len(w):
+                plain.add(w)
             else:
-                self.young[w] = ids
-        fresh = dict(zip(new, self.whole([w if w[:1] == "\n" else " " + w for w in new]), strict=True))
-        self.young.update((w, ids) for w, ids in fresh.items() if len(w) <= MEMO_CHARS)
-        long = {w: ids for w, ids in fresh.items() if len(w) > MEMO_CHARS}
-        known = self.young.__getitem__ if not long else lambda w: long[w] if w in long else self.young[w]
+                marked.append((w, letters, w[len(letters) :]))
+                if letters not in self.memo:
+                    plain.add(letters)
+        found.update(zip(new, self.whole([w if w[:1] == "\n" else " " + w for w in new]), strict=True))
+        listed = list(plain)
+        found.update(zip(listed, self.words(listed), strict=True))
+        for w, letters, marks in marked:
+            if marks not in self.marks:
+                if len(self.marks) >= MEMO_WORDS:
+                    self.marks.clear()
+                self.marks[marks] = self.whole([marks])[0]
+            found[w] = (found[letters] if letters in found else self.memo[letters]) + self.marks[marks]
+        if self.sightings > SIGHTED // 2:
+            self.sighted, self.sightings = bytearray(SIGHTED), 0
+        once = []
+        for w in found:
+            at = hash(w) % SIGHTED
+            if not self.sighted[at] or len(w) > MEMO_CHARS:
+                self.sighted[at] = 1
+                once.append(w)
+        self.sightings += len(once)
+        self.memo.update(found)
+        known = self.memo.__getitem__
         alone = self.whole([t if w is None else w[0] for t, w in zip(texts, words, strict=True)])
-        return [a if w is None else a + b"".join(map(known, w[1:])) for a, w in zip(alone, words, strict=True)]
+        out = [a if w is None else a + b"".join(map(known, w[1:])) for a, w in zip(alone, words, strict=True)]
+        for w in once:
+            del self.memo[w]
+        if len(self.memo) > MEMO_WORDS:  # the third that entered first goes; what is frequent comes back
+            for w in list(islice(self.memo, MEMO_WORDS // 3)):
+                del self.memo[w]
+        return out
 
 
 #: One for each vocabulary and worker process: later tasks find the words of earlier ones.
