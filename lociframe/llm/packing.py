@@ -131,7 +131,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     bases = bases.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")
+    within = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
     numbered = dealt.withColumn("row", F.row_number().over(within)).join(bases, ["length", "bucket"])
     numbered = numbered.withColumn("number", F.col("base") + F.col("row") - 1).drop("bucket", "row", "base")
 
