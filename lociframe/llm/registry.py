@@ -12,10 +12,11 @@ from .mixing import op4_mix_sources
 from .packing import op1_best_fit_packing
 from .pii import op10_pii
 from .quality import op9_quality
+from .sharding import op5_sharding
 from .simhash import op6_simhash
 from .token_files import op2_token_files
 from .toxicity import op8_toxicity
 
-_ALL = (op1_best_fit_packing, op2_token_files, op3_exact_dedup, op4_mix_sources, op6_simhash, op7_embedding_dedup, op8_toxicity, op9_quality, op10_pii)
+_ALL = (op1_best_fit_packing, op2_token_files, op3_exact_dedup, op4_mix_sources, op5_sharding, op6_simhash, op7_embedding_dedup, op8_toxicity, op9_quality, op10_pii)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 SQL: dict[str, str] = {"op3_exact_dedup": op3_sql()}
