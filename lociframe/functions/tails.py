@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+ColumnOrName = Column | str
+
 
 def _choose(n: int, k: int) -> float:
     return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
@@ -27,11 +30,17 @@ def binomial(k: int, trials: int, share: float) -> tuple[float, float]:
     return min(1.0, sum(p[: k + 1])), min(1.0, sum(p[k:]))
 
 
-@F.pandas_udf("low double, high double")
-def hypergeometric_tails(k: pd.Series, total: pd.Series, good: pd.Series, drawn: pd.Series) -> pd.DataFrame:
+def _hypergeometric_rows(k: pd.Series, total: pd.Series, good: pd.Series, drawn: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([hypergeometric(*map(int, x)) for x in zip(k, total, good, drawn, strict=True)], columns=["low", "high"])
 
 
-@F.pandas_udf("low double, high double")
-def binomial_tails(k: pd.Series, trials: pd.Series, share: pd.Series) -> pd.DataFrame:
+def _binomial_rows(k: pd.Series, trials: pd.Series, share: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([binomial(int(a), int(b), float(c)) for a, b, c in zip(k, trials, share, strict=True)], columns=["low", "high"])
+
+
+def hypergeometric_tails(k: ColumnOrName, total: ColumnOrName, good: ColumnOrName, drawn: ColumnOrName) -> Column:
+    return F.pandas_udf(_hypergeometric_rows, "low double, high double")(k, total, good, drawn)
+
+
+def binomial_tails(k: ColumnOrName, trials: ColumnOrName, share: ColumnOrName) -> Column:
+    return F.pandas_udf(_binomial_rows, "low double, high double")(k, trials, share)

@@ -21,8 +21,8 @@ def uniform_sample(sites: DataFrame, genome_length: int, wanted: int) -> DataFra
     along = Window.partitionBy("chrom").orderBy("pos", "site")
     rows = sites.withColumn("t", F.row_number().over(along)).withColumn("f", F.floor(F.col("pos") / space))
     rows = rows.withColumn("k", F.col("t") + F.least(F.lit(0), F.min(F.col("f") + 1 - F.col("t")).over(along)))
-    taken = rows.where(F.col("k") > F.coalesce(F.lag("k").over(along), F.lit(0)))
-    return taken.select("site", "chrom", "pos")
+    rows = rows.withColumn("before", F.lag("k", 1, 0).over(along))
+    return rows.where("k > before").select("site", "chrom", "pos")
 
 
 def thin(rows: DataFrame, order: list[str], wanted: int) -> DataFrame:
@@ -38,7 +38,7 @@ def thin(rows: DataFrame, order: list[str], wanted: int) -> DataFrame:
 
 def score_shift(runs: DataFrame, percentile: float) -> DataFrame:
     """The order statistic that is subtracted from all scores."""
-    return runs.agg(F.expr(f"percentile_disc({percentile}) WITHIN GROUP (ORDER BY score)").alias("shift"))
+    return runs.agg(F.expr(f"percentile_disc({percentile}) WITHIN GROUP (ORDER BY score)").cast(runs.schema["score"].dataType).alias("shift"))
 
 
 def best_run(runs: DataFrame, shift: int) -> DataFrame:

@@ -39,10 +39,10 @@ CALLS = """calls AS (SELECT site, site % 10 AS chrom, site * 100 AS pos, ind, a,
 def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, parts = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "part")
     found = items.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    return found.select(F.col("l_suppkey").alias("gene"), F.col("p_type").alias("cat")).distinct()
+    return found.select(F.col("l_suppkey").alias("gene"), F.concat_ws("|", "p_type", "p_brand").alias("cat")).distinct()
 
 
-MEMBERSHIP = "membership AS (SELECT DISTINCT l_suppkey AS gene, p_type AS cat FROM lineitem JOIN part ON l_partkey = p_partkey)"
+MEMBERSHIP = "membership AS (SELECT DISTINCT l_suppkey AS gene, p_type || '|' || p_brand AS cat FROM lineitem JOIN part ON l_partkey = p_partkey)"
 
 
 def listed_genes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import site_queries  # noqa: F401
+from .plans import graph_queries, ordered_queries, site_queries  # noqa: F401
 from .plans.catalog import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
