@@ -30,6 +30,7 @@ from .components import components
 
 MAX_DIFF = 2
 CELL = 2048
+LAST_BITS = 11  # distinct fingerprints with so many open bits fit in a cell
 FAN = 4
 SHINGLE = 3
 CHUNK = 1 << 15
@@ -165,16 +166,17 @@ def fingerprint_links(classes: DataFrame, cell_size: int = CELL) -> DataFrame:
     while True:
         steps = spark.createDataFrame([(_signed(m), _signed(x)) for m in masks for x in narrower(m)], "mask long, next long")  # 3 ** level rows
         cells = rows.join(F.broadcast(steps), "mask").select(F.col("next").alias("mask"), F.col("fp").bitwiseAND(F.col("next")).alias("cell"), "fp", "node")
+        masks = [x for m in masks for x in narrower(m)]
+        limit = max(cell_size, CELL) if all(64 - m.bit_count() <= LAST_BITS for m in masks) else cell_size
         counts = cut(cells.groupBy("mask", "cell").agg(F.count("*").alias("n")).where("n > 1"), "counts")
-        small = cells.join(counts.where(f"n <= {cell_size}"), ["mask", "cell"]).select("mask", "cell", "fp", "node")
+        small = cells.join(counts.where(f"n <= {limit}"), ["mask", "cell"]).select("mask", "cell", "fp", "node")
         dealt = small.repartition(tasks(spark), "mask", "cell").sortWithinPartitions("mask", "cell")
         found = cut(dealt.mapInArrow(_cell_links, "a long, b long"), "links")
         edges = found if edges is None else edges.union(found)
-        large = counts.where(f"n > {cell_size}")
+        large = counts.where(f"n > {limit}")
         if large.isEmpty():
             return edges
         rows = cut(cells.join(large, ["mask", "cell"]).select("fp", "node", "mask"), "large")
-        masks = [x for m in masks for x in narrower(m)]
 
 
 def near_groups(docs: DataFrame, cell_size: int = CELL) -> DataFrame:
