@@ -152,12 +152,12 @@ def fit(p: np.ndarray, u: np.ndarray, seed: int = 3) -> QualityModel:
         prior = best_bin(model.logit(held), model.logit(bu))
     model.weights = train(bp[~back], bu, prior, seed)
     zp, zu = model.logit(held), model.logit(bu)
-    cuts = np.unique(np.quantile(np.r_[zp, zu], np.linspace(0, 1, 41)))
+    cuts = np.unique(np.quantile(np.r_[zp, zu], np.linspace(0, 1, min(41, 3 + len(zp) // 20))))
     ip, iu = (np.bincount(np.searchsorted(cuts, z, "right"), minlength=len(cuts) + 1) for z in (zp, zu))
     share_p, share_u = ip / len(zp), (iu + 0.5) / (len(zu) + 0.5 * len(iu))
-    centre = np.r_[cuts[0] - 1, (cuts[1:] + cuts[:-1]) / 2, cuts[-1] + 1e-9]
-    used = (ip + iu) > 0
-    model.knots, values = isotonic(centre[used], (prior * share_p / share_u)[used], share_u[used])
+    used, z = (ip + iu) > 0, np.r_[zp, zu]
+    centre = np.bincount(np.searchsorted(cuts, z, "right"), z, len(ip))[used] / (ip + iu)[used]
+    model.knots, values = isotonic(centre, (prior * share_p / share_u)[used], share_u[used])
     model.values = np.minimum(1, values)
     return model
 
