@@ -39,7 +39,7 @@ TERM = re.compile(r"[^\W\d_]+")
 MAX_EXAMPLES, MAX_TERMS = 4000, 2000
 LIFT, CHI2, LEAST = 3.0, 28.0, 3
 K, NEAR, BLOCK = 10, 0.1, 64
-MEMO = 100_000
+MEMO = 20_000
 HASHES = (2654435761, 2246822519, 3266489917)  # odd multipliers
 EVIDENCE = "score double, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>"
 
@@ -111,9 +111,10 @@ class Index:
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Least-squares non-decreasing fit: knots and their values, for linear interpolation."""
     pools: list[list[float]] = []
-    for a, b, c in sorted(zip(x.tolist(), y.tolist(), w.tolist(), strict=True)):
-        pools.append([a, a, b * c, c])
-        while len(pools) > 1 and (pools[-2][2] / pools[-2][3] >= pools[-1][2] / pools[-1][3] or pools[-2][1] == pools[-1][0]):
+    at, place = np.unique(x, return_inverse=True)
+    for a, b, c in zip(at.tolist(), np.bincount(place, y * w).tolist(), np.bincount(place, w).tolist(), strict=True):
+        pools.append([a, a, b, c])
+        while len(pools) > 1 and pools[-2][2] / pools[-2][3] >= pools[-1][2] / pools[-1][3]:
             last = pools.pop()
             pools[-1] = [pools[-1][0], last[1], pools[-1][2] + last[2], pools[-1][3] + last[3]]
     return np.array([v for p in pools for v in p[:2]]), np.array([p[2] / p[3] for p in pools for _ in "ab"])
@@ -130,7 +131,7 @@ class ToxicityModel:
         terms = self.index.terms
         return {terms[t]: n for t, n in Counter(filter(terms.__contains__, TERM.findall(text.lower()))).items()}
 
-    def judge(self, text: str, memo: dict) -> tuple[float, list]:
+    def judge(self, text: str, memo: dict) -> tuple[float, list[tuple[float, int]]]:
         if self.index is None or not (counts := self.counts(text)):
             return self.none, []
         key = tuple(sorted(counts.items()))
@@ -139,9 +140,12 @@ class ToxicityModel:
                 memo.clear()
             near = self.index.nearest(counts, K)
             score = float(np.interp(self.index.vote(near), self.knots, self.values)) if near else self.none
-            memo[key] = score, [{"doc_id": int(self.index.ids[at]), "similarity": s, "toxic": int(self.index.labels[at])} for s, at in near]
+            memo[key] = score, near
         return memo[key]
 
+    def evidence(self, near: list[tuple[float, int]]) -> list[dict]:
+        return [{"doc_id": int(self.index.ids[at]), "similarity": float(s), "toxic": int(self.index.labels[at])} for s, at in near]
+
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> ToxicityModel:
     chosen, shares = labelled_examples(labels, "toxic", train, max_examples)
@@ -205,12 +209,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, max_examples
 def toxicity(spark: SparkSession, model: ToxicityModel):
     """A function of a text column: score and evidence."""
     held = spark.sparkContext.broadcast(model)  # bounded by max_examples and max_terms
-    memo: dict = {}
+    memo: dict = {}  # of this task
 
     @F.pandas_udf(EVIDENCE)
     def judge(texts: pd.Series) -> pd.DataFrame:
         rows = [held.value.judge(t or "", memo) for t in texts]
-        return pd.DataFrame({"score": [s for s, _ in rows], "evidence": [e for _, e in rows]})
+        return pd.DataFrame({"score": [s for s, _ in rows], "evidence": [held.value.evidence(n) for _, n in rows]})
 
     return judge
 
