@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, table, text_or_empty
-from .tokens import encoded
+from .tokens import encoded, slices
 
 CAPACITY = 2048
 END_ID = 0
@@ -40,7 +40,7 @@ def document_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id
     """One row per piece. Only documents above the capacity are cut: the first piece takes what whole pieces leave over."""
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for doc_id, ids in zip(b.column(0).to_pylist(), encoded(path, b.column(1).to_pylist(), end_id), strict=True):
                 at = 0

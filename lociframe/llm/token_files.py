@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, new_path, table, tasks, text_or_empty
-from .tokens import encoded
+from .tokens import encoded, slices
 
 LENGTH = 2048
 BATCH_ROWS = 256
@@ -82,7 +82,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, length: int = LEN
     id_type = pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = (b for b in batches if b.num_rows)
+        batches = slices(batches)
         if (first := next(batches, None)) is None:
             return
         store, root = opened(folder)

@@ -11,11 +11,12 @@ from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
 
 #: Where white space stands alone, no token and no rule of these vocabularies reaches over the end of a word, so a text's
 #: ids are those of its words, each with the white space before it. Other texts are encoded whole.
 TWO_SPACES = re.compile(r"\s\s")
-MEMO_WORDS, MEMO_CHARS, BATCH, JOINED, SIGHTED = 450_000, 48, 256, 1000, 1 << 22
+MEMO_WORDS, MEMO_CHARS, BATCH, JOINED, SIGHTED = 400_000, 48, 256, 1000, 1 << 22
 #: Both vocabularies cut between letters and a run of these, which is a token's piece of its own (an apostrophe is not).
 MARKS = string.punctuation.replace("'", "")
 ID = np.dtype("<u4")
@@ -107,6 +108,13 @@ class Encoder:
 encoder = lru_cache(maxsize=4)(Encoder)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Smaller batches: texts become Python strings a few at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, BATCH):
+            yield b.slice(at, BATCH)
+
+
 def encoded(path: str, texts: list[str], end_id: int) -> Iterator[np.ndarray]:
     """The ids of each text with the end id behind them."""
     end = np.array([end_id], ID).tobytes()
