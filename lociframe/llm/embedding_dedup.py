@@ -2,9 +2,8 @@
 
 1. Equal vectors of a label become one class with its smallest vec_id and its size.
 2. Centroids are fitted on at most ``SAMPLE`` classes; every class is assigned to its nearest centroid. A class near the
-   border of another cell visits it: it may have partners there. With ``MARGIN`` = sqrt(1 - 0.98 ** 2) = 0.199 no link
-   can be lost. Near-duplicates lie that far apart across one border only if their whole difference points there; in 64
-   dimensions half that margin lost none in the tests, and it is the default.
+   border of another cell visits it: it may have partners there. Both ends of a link across a border lie within
+   sqrt(1 - threshold ** 2) of it, 0.199 at 0.98; that margin is the default, and no link is lost.
 3. A cell of one label is cut in blocks of about ``BLOCK`` rows. A unit is a pair of blocks of which one holds residents;
    its cosines are one matrix product. For each row it gives the number of its links, and a spanning forest.
 4. Link counts are summed; the forests' components are the groups, and a group's smallest vec_id is kept.
@@ -28,7 +27,6 @@ from .components import components
 from .simhash import NO_ID, forest
 
 COSINE = 0.98
-MARGIN = 0.1
 SAMPLE = 20_000
 CLASSES_PER_CELL = 1024
 MAX_CELLS = 2048
@@ -36,6 +34,11 @@ BLOCK = 512
 ROUNDS = 10
 
 
+def exact_margin(threshold: float) -> float:
+    """How far from a border the ends of a link across it can lie, with room for rounding."""
+    return max(0.0, 1 - threshold * threshold) ** 0.5 + 1e-6
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -128,9 +131,9 @@ def _unit_links(threshold: float):
     return links
 
 
-def vector_links(classes: DataFrame, threshold: float = COSINE, margin: float = MARGIN, block: int = BLOCK) -> DataFrame:
+def vector_links(classes: DataFrame, threshold: float = COSINE, margin: float | None = None, block: int = BLOCK) -> DataFrame:
     """(node, n, label, embedding) -> rows (node, links) with other null, and edges (node, other)."""
-    spark = classes.sparkSession
+    spark, margin = classes.sparkSession, exact_margin(threshold) if margin is None else margin
     total = classes.count()
     k = min(MAX_CELLS, total // CLASSES_PER_CELL + 1)
     sample = classes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").toPandas()["embedding"]
@@ -158,7 +161,7 @@ def vector_links(classes: DataFrame, threshold: float = COSINE, margin: float =
     return cut(dealt.mapInArrow(_unit_links(threshold), "node long, links long, other long"), "links")
 
 
-def near_vectors(vectors: DataFrame, threshold: float = COSINE, margin: float = MARGIN) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = COSINE, margin: float | None = None) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row of (vec_id, embedding, label)."""
     rows = _classes(vectors)
     usable = rows.where("usable").withColumn("embedding", F.col("embedding").cast("array<float>"))

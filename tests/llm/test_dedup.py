@@ -171,3 +171,15 @@ def test_recall_of_the_default_margin(spark):
         wanted += links.sum()
         n += sum(min(found[i], k) for i, k in zip(part["vec_id"], links, strict=True))
     assert n >= 0.9 * wanted and sum(found.values()) <= wanted
+
+
+def test_default_margin_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CLASSES_PER_CELL", 30)
+    rng = np.random.default_rng(8)
+    for dims, threshold in ((2, 0.98), (3, 0.9)):
+        x = np.float32(rng.normal(size=(500, dims)))
+        table = spark.createDataFrame([(i, [float(v) for v in row], 0) for i, row in enumerate(x)], "vec_id long, embedding array<float>, label int")
+        found = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(table, threshold).collect()}
+        unit = embedding_dedup.unit(x.astype("float64"))
+        links = (unit @ unit.T >= threshold).sum(axis=1) - 1
+        assert [found[i] for i in range(len(x))] == links.tolist()
