@@ -31,12 +31,12 @@ class Metadata:
 
 
 def parse_header(lines: list[str], columns: int | None = None) -> Metadata:
-    """From the leading comment lines. Numbers outside the table are dropped, as is an individual without a column."""
+    """From the leading comment lines. Numbers outside the table are dropped, as is an individual without a column; text that is not JSON raises."""
     text = "".join(x[1:].rstrip("\n") for x in lines if x.startswith("#"))
     try:
         found = json.loads(text) if text.strip() else {}
-    except json.JSONDecodeError:
-        found = {}
+    except json.JSONDecodeError as error:
+        raise ValueError(f"the header is not JSON: {text[:80]}") from error
     found = found if isinstance(found, dict) else {}
     names = tuple(found.get("column_names", ()))
     width = columns or len(names)
@@ -70,9 +70,13 @@ def header_lines(meta: Metadata) -> list[str]:
 
 
 def read_header(spark: SparkSession, path: str, columns: int | None = None) -> Metadata:
-    """Comment lines stand at the top: the first ones of the file are enough."""
-    rows = spark.read.text(path).where(F.col("value").startswith("#")).limit(1000).collect()
-    return parse_header([r["value"] for r in rows], columns)
+    """From all comment lines before the first row, in their order; the table's columns bound them. In a folder, files are in order of name."""
+    at = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).where(F.trim("value") != "").select("value", at.alias("at"))
+    comment = F.col("value").startswith("#")
+    first = lines.where(~comment).agg(F.min("at").alias("first"))
+    top = lines.where(comment).join(F.broadcast(first), F.col("first").isNull() | (F.col("at") < F.col("first")))
+    return parse_header([r["value"] for r in top.orderBy("at").select("value").collect()], columns)
 
 
 def wrap(value: dict) -> str:
