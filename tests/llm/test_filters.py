@@ -195,6 +195,27 @@ def test_personal_data(spark):
     assert pii.find_pii(docs.limit(0), pii.fit_pii(docs.limit(0))).isEmpty()
 
 
+def test_forms_that_only_generators_know_are_added(spark):
+    rng = random.Random(6)
+    table = []
+    for i in range(400):
+        phone, ip = f"{rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}", f"10.{i % 250}.{rng.randrange(250)}.7"
+        table.append((i, f"call +1 ({phone} or mail me{i}@mail.example.com from host {ip} now; row 3 4 5 6 7 8 300.400.{i}.1 9 10 11 12"))
+    new = ["call (555) 123-4567 or so", "mail some.one (at) mail (dot) example (dot) org now", "from host 2001:0db8:85a3:0000:0000:8a2e:0370:7334 now"]
+    common = [(1000 + i, new[i % 3]) for i in range(300)]  # common forms are not learned as false ones
+    docs = documents(spark, [*table, *common])
+    found = {r["row"]["doc_id"]: r for r in pii.find_pii(docs, pii.fit_pii(docs)).collect()}
+    assert [found[1000 + i]["redacted"] for i in range(3)] == ["call [PHONE] or so", "mail [EMAIL] now", "from host [IP] now"]
+    assert "300.400.5.1" in found[5]["redacted"]
+
+
+def test_training_candidates():
+    text = "call +1 (017) 555-7713 or 4111 1111 1111 1112 or 1.2.3.999"
+    labels = {text[a:b]: y for (_, a, b), y in pii.checked_matches(text, pii.base_spans(text))}
+    assert labels == {"+1 (017) 555-7713": 1.0, "4111 1111 1111 1112": 0.0, "1.2.3.999": 0.0}
+    assert len(pii.drawn([(("ip", i, i + 7), 1.0) for i in range(500)], 64)) == 64
+
+
 def test_trees_learn():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(2000, 4))
