@@ -16,11 +16,12 @@ Nulls and edge cases: a null text counts as empty; rows of one group with the sa
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, table, tasks, text_or_empty
@@ -35,6 +36,11 @@ def normalised(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").lower()
 
 
+def normalised_text(text: Column) -> Column:
+    """The same on the JVM."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 

@@ -7,7 +7,8 @@
    ``target / (2k + 1)``, and each source's blocks to its shards (a hash of the document) likewise. Quotas near
    the proportional share are certain, so only a few quotients around it are ranked.
 3. In a (source, shard) cell documents stand in seeded hash order; the cell takes whole passes and then the
-   first blocks of that order, so that every document is taken at most ``max_repeat`` times.
+   first blocks of that order, so that every document is taken at most ``max_repeat`` times. ``mix`` counts the words
+   within the blocks; ``mixed_documents`` takes whole documents, the last one if at least half of it is within.
 
 The number of shards grows with the square root of the words. So both the number of cells and the rows of a cell
 stay small, whatever a single source holds; only sums leave a cell.
@@ -25,6 +26,8 @@ from .common import WORD, cut, table, text_or_empty
 
 BLOCK_WORDS = 16
 SEED = 20
+#: So many cells (some 10 MB) go to all executors; above that Spark joins by the cell.
+BROADCAST_CELLS = 100_000
 WEIGHTS = (1.0, 2.0, 3.0)
 
 
@@ -85,12 +88,18 @@ def apportion(parties: DataFrame, group: list[str], order: list[str], votes: str
     return near.alias("p").join(won.alias("w"), same, "left").select(*kept, (F.col("p.low") + F.coalesce("w.won", F.lit(0))).alias("quota"))
 
 
-def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: int = 3, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, source, size, row) -> the same rows with source_size, target, shard and taken (words the mix takes)."""
-    total = rows.agg(F.sum("size").alias("n")).first()["n"] or 0
+def _dealt(rows: DataFrame, shards: int, seed: int) -> DataFrame:
+    """Adds each document's source as a key that is never null, its shard, and its place in the seeded order of its cell."""
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_hash"), F.lit(shards)))
+    dealt = dealt.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null")))
+    return dealt.withColumn("place", F.struct(F.xxhash64(F.lit(seed + 1), "doc_id").alias("h"), F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("text_hash").alias("t")))
+
+
+def _cells(sized: DataFrame, weights: tuple[float, ...], max_repeat: int, block_words: int, seed: int) -> tuple[DataFrame, DataFrame, int]:
+    """(doc_id, source, size, text_hash) -> the same rows as dealt, with the words before each in its cell; the cells; the number of shards."""
+    total = sized.agg(F.sum("size").alias("n")).first()["n"] or 0
     shards = max(16, int(total**0.5 / 16) + 1)
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.lit(shards)))
-    dealt = dealt.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
+    dealt = _dealt(sized, shards, seed)
     cells = cut(dealt.groupBy("key", "shard").agg(F.first("source").alias("source"), F.sum("size").alias("cell_size")), "cells")
     sources = source_targets(cells.select("source", F.col("cell_size").alias("size")), weights, max_repeat)
     sources = apportion(sources, [], ["rank"], "target", F.lit(round(total / block_words)))
@@ -100,29 +109,45 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: int =
     words = F.least(F.col("quota") * block_words, F.col("cell_size") * max_repeat)
     cells = cells.withColumn("passes", F.coalesce(F.floor(words / F.nullif(F.col("cell_size"), F.lit(0))), F.lit(0)).cast("long"))
     cells = cells.withColumn("rest", words - F.col("passes") * F.col("cell_size"))
-    seeded = Window.partitionBy("key", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    seeded = Window.partitionBy("key", "shard").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.withColumn("before", F.coalesce(F.sum("size").over(seeded), F.lit(0)))
+    return placed, cells.select("key", "shard", "source_size", "target", "passes", "rest"), shards
+
+
+def sizes(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and text_hash of each document, as a table: texts are read once for it."""
+    text = text_or_empty(docs)
+    return cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(text).alias("size"), F.xxhash64(text).alias("text_hash")), "sizes")
+
+
+def mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: int = 3, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+    """(doc_id, source, size, text_hash) -> the same rows with source_size, target, shard and taken (words the mix takes)."""
+    placed, cells, _ = _cells(sized, weights, max_repeat, block_words, seed)
     first = F.least(F.greatest(F.col("rest") - F.col("before"), F.lit(0)), F.col("size"))
-    joined = placed.join(cells.select("key", "shard", "source_size", "target", "passes", "rest"), ["key", "shard"])
-    return joined.withColumn("taken", F.col("passes") * F.col("size") + first).drop("key", "passes", "rest", "before")
+    return placed.join(cells, ["key", "shard"]).withColumn("taken", F.col("passes") * F.col("size") + first).drop("key", "place", "passes", "rest", "before")
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a document stands as often as it is taken, its last time with the words taken then."""
-    rows = docs.select("doc_id", "source", word_count(text_or_empty(docs)).alias("size"), F.struct("*").alias("row"))
-    copies = mix(rows).where("taken > 0").withColumn("n", F.explode(F.sequence(F.lit(0), F.floor((F.col("taken") - 1) / F.col("size")).cast("int"))))
-    words = F.least(F.col("taken") - F.col("n") * F.col("size"), F.col("size"))
-    units = F.split(F.regexp_replace("row.text", r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    part = F.array_join(F.slice(units, F.lit(1), words.cast("int")), "")
-    text = F.when(words == F.col("size"), F.col("row.text")).otherwise(part)
-    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("text", "n_chars")]
-    out = copies.select(*kept, text.alias("text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: int = 3, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a whole document stands as often as it is taken.
+
+    Where a cell's quota ends within a document, the document is taken if at least half of it is within. So a cell is told by its
+    passes and its last place, and texts meet a table with a row for each cell instead of being sorted. Rows that share id and
+    text stand alike.
+    """
+    placed, cells, shards = _cells(sizes(docs), weights, max_repeat, block_words, seed)
+    joined = placed.where("size > 0").join(cells, ["key", "shard"])
+    within = F.col("rest") - F.col("before") >= F.col("size") / 2
+    ends = joined.groupBy("key", "shard").agg(F.first("passes").alias("passes"), F.max(F.when(within & (F.col("rest") > 0), F.col("place"))).alias("last"))
+    ends = cut(ends.where("passes > 0 OR last IS NOT NULL"), "ends").select(F.col("key").alias("end_key"), F.col("shard").alias("end_shard"), "passes", "last")
+    if ends.count() <= BROADCAST_CELLS:
+        ends = F.broadcast(ends)
+    text = text_or_empty(docs)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source", F.xxhash64(text).alias("text_hash"), text.rlike(WORD).alias("full"))
+    taken = _dealt(rows.where("full"), shards, seed).join(ends, (F.col("key") == F.col("end_key")) & (F.col("shard") == F.col("end_shard")))
+    times = F.col("passes") + F.coalesce((F.col("place") <= F.col("last")).cast("long"), F.lit(0))
+    copies = taken.withColumn("times", times).where("times > 0").withColumn("n", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return copies.select("row.*")
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    sized = cut(docs.select("doc_id", "source", word_count(text_or_empty(docs)).alias("size")), "sizes")
-    return mix(sized).select("doc_id", "size", "source_size", "target", "taken", "source", "shard")
+    return mix(sizes(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken", "source", "shard")

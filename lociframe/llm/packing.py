@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table, text_or_empty
+from .common import cut, small_batches, table, text_or_empty
 from .tokens import encoded, slices
 
 CAPACITY = 2048
@@ -42,7 +42,7 @@ def document_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             rows = []
-            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(path, b.column(1).to_pylist(), end_id), strict=True):
+            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(path, b.column(1), end_id), strict=True):
                 at = 0
                 for piece in range(-(-len(ids) // capacity)):
                     to = at + capacity if at or len(ids) % capacity == 0 else len(ids) % capacity
@@ -52,6 +52,7 @@ def document_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text")).mapInArrow(cut_up, PIECES)
 
 
@@ -157,8 +158,8 @@ def sequences(docs: DataFrame, placed: DataFrame, path: str, capacity: int = CAP
     """The packed sequences: sequence_id, input_ids and segment (number of the piece in its sequence) of each token."""
 
     def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(path, b.column(1).to_pylist(), end_id), strict=True):
+        for b in slices(batches):
+            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(path, b.column(1), end_id), strict=True):
                 first = len(ids) % capacity or capacity
                 parts = np.split(ids, range(first, len(ids), capacity))
                 yield pa.RecordBatch.from_arrays([pa.array([doc_id] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int32()), pa.array([p.tolist() for p in parts], pa.list_(pa.int32()))], ["doc_id", "piece", "ids"])

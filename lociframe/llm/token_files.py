@@ -21,6 +21,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, new_path, table, tasks, text_or_empty
+from .common import cut, new_path, small_batches, table, tasks, text_or_empty
 from .tokens import encoded, slices
 
 LENGTH = 2048
 BATCH_ROWS = 256
 END_ID = 2
+READ_ROWS = 4096
 MANIFEST = "shard int, file string, first_doc long, n_docs long, n_ids long"
 
 
@@ -95,7 +97,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, length: int = LEN
         with store.open_output_stream(f"{root}/{file}.docs.arrow") as sink, pa.ipc.new_file(sink, docs_schema) as index:
             for b in (x for xs in ([first], batches) for x in xs):
                 counts = []
-                for ids in encoded(path, b.column(1).to_pylist(), end_id):
+                for ids in encoded(path, b.column(1), end_id):
                     out.add(ids)
                     counts.append(len(ids))
                 starts = at + np.concatenate([[0], np.cumsum(counts)[:-1]]).astype("int64")
@@ -106,6 +108,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, length: int = LEN
         row = [[shard], [file], [first.column(0)[0].as_py()], [n_docs], [at]]
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()], strict=True)], ["shard", "file", "first_doc", "n_docs", "n_ids"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
     ranged = rows.repartitionByRange(tasks(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -150,8 +153,9 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for file, base in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows = [(d, base + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for d, start, ids in TokenFile(folder, file).documents()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                found = ((d, base + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for d, start, ids in TokenFile(folder, file).documents())
+                while rows := list(islice(found, READ_ROWS)):
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     shards = manifest.select("file", "start").repartition(tasks(manifest.sparkSession))
     return shards.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -48,19 +48,34 @@ def test_apportionment_is_sainte_lague(spark):
 
 def test_mix(spark):
     docs = clashing(documents(spark))
-    sized = docs.select("doc_id", "source", mixing.word_count(F.coalesce("text", F.lit(""))).alias("size"))
-    got = rows(mixing.mix(sized), "doc_id", "source", "size", "source_size", "target", "taken")
-    assert got == rows(mixing.mix(sized), "doc_id", "source", "size", "source_size", "target", "taken") and len(got) == docs.count()
+    got = rows(mixing.mix(mixing.sizes(docs)), "doc_id", "source", "size", "source_size", "target", "taken")
+    assert got == rows(mixing.mix(mixing.sizes(docs)), "doc_id", "source", "size", "source_size", "target", "taken") and len(got) == docs.count()
     assert all(0 <= taken <= 3 * size for _, _, size, _, _, taken in got)
     for source in {r[1] for r in got}:
         mine = [r for r in got if r[1] == source]
         assert abs(sum(r[5] for r in mine) - mine[0][4]) <= 16 + 48 * 16
         assert sum(r[2] for r in mine) == mine[0][3]
-    mixed = mixing.mixed_documents(docs)
-    assert mixed.columns == docs.columns
-    words = mixed.agg(F.sum(mixing.word_count(F.coalesce("text", F.lit(""))))).first()[0]
-    assert words == sum(r[5] for r in got)
-    assert mixing.mix(sized.limit(0)).isEmpty() and mixing.mixed_documents(docs.limit(0)).isEmpty()
+    assert mixing.mix(mixing.sizes(docs.limit(0))).isEmpty() and mixing.mixed_documents(docs.limit(0)).isEmpty()
+
+
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+def test_mixed_documents_are_whole(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", broadcast)
+    odd = mixing.mixed_documents(clashing(documents(spark)))
+    assert odd.columns == clashing(documents(spark)).columns and odd.where("text IS NULL OR text = ''").isEmpty()
+    rng = random.Random(3)
+    table = {i: " ".join(f"w{rng.randrange(99)}" for _ in range(rng.randrange(1, 60))) for i in range(3000)}
+    docs = documents(spark, list(table.items()))
+    targets = {r["source"]: (r["target"], r["source_size"]) for r in mixing.mix(mixing.sizes(docs)).collect()}
+    mixed = mixing.mixed_documents(docs).collect()
+    assert all(r["text"] == table[r["doc_id"]] for r in mixed)
+    times, words = {}, dict.fromkeys(targets, 0)
+    for r in mixed:
+        times[r["doc_id"]] = times.get(r["doc_id"], 0) + 1
+        words[r["source"]] += len(r["text"].split())
+    assert max(times.values()) <= 3
+    for source, (target, _) in targets.items():
+        assert abs(words[source] - target) <= 0.03 * target
 
 
 def test_shards(spark, tmp_path):
@@ -238,3 +253,11 @@ def test_pipeline_stages(spark, small):
             assert out.select(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).distinct().count() == n
         docs = corpus_pipeline.cut(out, name)
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_exact_dedup_stage_tells_rows_by_id_and_text(spark):
+    table = [(9, "same words"), (12, "Same words"), (9, "unique text"), (None, "same words"), (12, "same words"), (12, "same WORDS"), (None, "nameless"), (None, "nameless"), (3, None), (4, "")]
+    for docs in (documents(spark, table), clashing(documents(spark, table)).withColumn("r", F.lit(1))):
+        left = corpus_pipeline.exact_dedup(spark, docs, "")
+        assert left.columns == docs.columns
+        assert sorted(((r["doc_id"], (r["text"] or "").lower()) for r in left.collect()), key=repr) == sorted([(9, "unique text"), (12, "same words"), (None, "nameless"), (4, "")], key=repr)

@@ -6,6 +6,7 @@ from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import clashing, documents
 from tokenizers import Tokenizer
@@ -17,31 +18,47 @@ BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path
 
 @lru_cache
 def tokenizer(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 def ids(path, text):
     return tokenizer(path).encode(text or "", add_special_tokens=False).ids
 
 
+ODD = ["a", "B", "é", "ß", "Σ", "ς", "İ", "SENİ", "ı", "Ǆ", "1", "²", ",", ".", "!", "'s", "'", "\n", " ", " ", "  ", "\t", "\x1c", "漢", "\u0307", "क\u093c", "\u0958", "<|endoftext|>", "<|startoftext|>", "<|", "don't", "ﬁ", "\u212a", "\x85", "\u3000", "ж", "_", "🙂", "\u200d", "ª"]
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_memo_gives_the_library_ids(path):
     rng = random.Random(0)
-    alphabet = ["a", "B", "é", "ß", "Σ", "1", "²", ",", ".", "!", "'s", "'", "\n", " ", " ", "  ", "\t", " ", "\x1c", "漢", "é", "<|endoftext|>", "don't"]
-    texts = ["".join(rng.choices(alphabet, k=rng.randrange(30))) for _ in range(1500)] + ["", " ", "\n", "w" * 100 + " " + "v" * 99 + ",,"]
-    for text, got in zip(texts, tokens.encoded(path, texts, 7), strict=True):
-        assert got.tolist() == [*ids(path, text), 7], repr(text)
+    texts = ["".join(rng.choices(ODD, k=rng.randrange(30))) for _ in range(3000)] + ["", " ", "\n", "w" * 100 + " " + "v" * 99 + ",,"]
+    texts += ["".join(rng.choice([chr(rng.randrange(0x250)), chr(rng.randrange(0x3000)), chr(rng.randrange(0xD7FF)), " ", "a", ","]) for _ in range(rng.randrange(20))) for _ in range(2000)]
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        for text, got in zip(part, tokens.encoded(path, pa.array(part), 7), strict=True):
+            assert got.tolist() == [*ids(path, text), 7], repr(text)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_special_tokens_and_letters_that_grow(path):
+    texts = ["Merkezi SENİ, geldi", "a SENİ. b", "ANKARA TÜRKİ!", "see <|endoftext|> here", "<|endoftext|>", "x<|startoftext|>, y"]
+    for text, got in zip(texts, tokens.encoded(path, pa.array(texts), 3), strict=True):
+        assert got.tolist() == [*ids(path, text), 3]
 
 
 def test_memo_evicts(monkeypatch):
     monkeypatch.setattr(tokens, "MEMO_WORDS", 5)
     e = tokens.Encoder(BYTE)
     for _ in range(3):
-        for text in ("a b c d e f g", "a b h i j k l m"):
-            assert np.frombuffer(e.batch([text])[0], tokens.ID).tolist() == ids(BYTE, text)
-    assert len(e.memo) <= 10
+        for text in ("a b c d e f g", "a b h i j k l m", "a b", "a a a b " + "x" * 50):
+            assert e.batch(pa.array([text]), 0)[0].tolist() == [*ids(BYTE, text), 0]
+    assert len(e.memo) <= 5 == len({*"abcde"}) and len(e.memo) == len(e.met) == len(e.runs.lengths) == len(e.hashes) == len(e.places)
+
+
+def test_slices_bound_their_texts(monkeypatch):
+    monkeypatch.setattr(tokens, "SLICE_CHARS", 10)
+    b = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4, 5]), pa.array(["x" * 6, "y" * 4, "z" * 30, "", "v"])], ["doc_id", "text"])
+    assert [x.column(0).to_pylist() for x in tokens.slices(iter([b]))] == [[1, 2], [3], [4, 5]]
 
 
 def check_packed(rows, capacity):
