@@ -30,10 +30,14 @@ ID = np.dtype("<u4")
 LETTERS = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}\x{391}-\x{3A1}\x{3A3}-\x{3A9}\x{3B1}-\x{3C9}\x{410}-\x{44F}]+$"
 
 
-def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The runs of ``values`` of these starts and lengths, one behind the other."""
+def run_places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places in runs of these starts and lengths, one run behind the other."""
     ends = np.cumsum(lengths)
-    return values[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return values[run_places(starts, lengths)]
 
 
 def strings(words: pa.Array) -> list[str]:

@@ -2,27 +2,27 @@
 
 * Examples: labelled rows outside the held-out fold, at most ``MAX_EXAMPLES`` of each class in hash order. The bound is a
   parameter; each class counts by its share of all labels, however many of it were taken.
-* Terms: letter runs in lower case whose document frequency among toxic examples is at least ``LIFT`` times that among
-  the others, beyond chance (chi-square ``CHI2``: one in ten million, as very many terms are tried); at most
-  ``MAX_TERMS`` of them. Examples that agree in three minimum hashes of their terms are near copies and count once there.
-  Their inverse document frequency comes
-  from all documents, counted in one pass that leaves a task as one row per term.
-* Index: for each term the examples that hold it, with weights, cut in blocks of ``BLOCK`` examples of which the largest
-  weight is known. A query adds these bounds up, scores the most promising blocks first, and stops where no other block
-  can reach the k-th best: the nearest neighbours are exact.
+* Index: every term (letter run in lower case) of every example of both classes; none is left out. For each term it has the
+  examples that hold it, with weights, cut in blocks of ``BLOCK`` examples of which the largest weight is known. A query adds
+  these bounds up, scores the most promising blocks first, and then all blocks whose bound reaches the k-th best: the nearest
+  neighbours are exact. Examples stand in order of class, most frequent term and length of their vector, which keeps the bounds tight. A term is known by
+  its 64-bit hash.
+* Weights: (1 + log tf) * idf * emphasis. The inverse document frequency comes from all documents. The emphasis is 1 + (G - ``CHANCE``)+
+  * (log lift)+, with the root of the likelihood ratio G of a term and the toxic class, and is 1 for all terms whose tie to a class could be
+  chance among a million terms. Without it, words that two texts share by chance outweigh the toxic ones (README). Examples that
+  agree in three minimum hashes of their terms are near copies and count once there.
 * Votes: the ``K`` nearest vote with weight 1 / (distance + ``NEAR``). Leave-one-out votes of the examples, made
-  monotone, calibrate the score; neighbours and similarities are the evidence. A text with none of the terms gets the
-  toxic share of the examples without any.
+  monotone, calibrate the score; neighbours and similarities are the evidence. A text that shares no term with any example gets the
+  toxic share of all labels.
 
 Null and empty texts have no terms. Labels that are null are ignored; of contradicting labels of a doc_id the toxic one
-holds. Without any toxic example every score is 0. Equal rows get equal scores; an empty table an empty result.
+holds. Rows that repeat a labelled doc_id are examples each. Without any toxic example every score is 0. Equal rows get equal scores; an empty table an empty result.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,16 +30,18 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty
+from .common import cut, small_batches, table, tasks, text_or_empty
+from .tokens import run_places
 
 TERM = re.compile(r"[^\W\d_]+")
-MAX_EXAMPLES, MAX_TERMS = 4000, 2000
-LIFT, CHI2, LEAST = 3.0, 28.0, 3
-K, NEAR, BLOCK = 10, 0.1, 64
-MEMO = 20_000
+MAX_EXAMPLES = 1500
+CHANCE = 5.5  # one term in a million is that far from its expectation by chance, roughly
+K, NEAR, BLOCK, FIRST_BLOCKS = 10, 0.1, 64, 3
+MEMO, TERMS, TEXTS = 5_000, 200_000, 64
 HASHES = (2654435761, 2246822519, 3266489917)  # odd multipliers
 EVIDENCE = "score double, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>"
 
@@ -56,51 +58,138 @@ def labelled_examples(labels: DataFrame, label: str, train: Column, limit: int)
     return parts[0].union(parts[1]), [counts.get(y, 0) / max(1, min(limit, counts.get(y, 0))) for y in (0, 1)]
 
 
+def term_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct terms, in order, and how often each occurs."""
+    counts = Counter(TERM.findall(text.lower()))
+    hashes = np.fromiter((xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in counts), "uint64", len(counts))
+    order = np.argsort(hashes)
+    return hashes[order], np.fromiter(counts.values(), "int64", len(counts))[order]
+
+
+class Vocabulary:
+    """Places of terms among hashes in order, -1 for others; what was met is remembered, at most ``TERMS`` terms."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes, self.memo, self.several = hashes, {}, {}
+
+    def _add(self, words: set[str]) -> None:
+        """Remembers the place of each word's term; words that hold no term or several get their places in ``several``."""
+        terms = [TERM.findall(w) for w in words]
+        flat = [t for ts in terms for t in ts]
+        hashes = np.fromiter((xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in flat), "uint64", len(flat))
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+        places = iter((np.where(self.hashes[at] == hashes, at, -1) if len(self.hashes) else np.full(len(flat), -1)).tolist())
+        for w, ts in zip(words, terms, strict=True):
+            if len(ts) == 1:
+                self.memo[w] = next(places)
+            else:
+                held = [x for x in (next(places) for _ in ts) if x >= 0]
+                self.memo[w] = -2 if held else -1
+                if held:
+                    self.several[w] = held
+
+    def places(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text, the places of its distinct terms, in order, and how often each occurs."""
+        found = [Counter(t.lower().split()) for t in texts]  # white space is in no term
+        if len(self.memo) > TERMS:
+            self.memo, self.several = {}, {}
+        self._add(set().union(*found).difference(self.memo))
+        out = []
+        for c in found:
+            place, n = np.fromiter(map(self.memo.__getitem__, c), "int64", len(c)), np.fromiter(c.values(), "int64", len(c))
+            if len(place) and place.min() == -2:
+                more = [(x, k) for w, k in c.items() if w in self.several for x in self.several[w]]
+                place, n = np.r_[place, [x for x, _ in more]], np.r_[n, [k for _, k in more]]
+            known, at = np.unique(place, return_inverse=True)
+            n, first = np.bincount(at, n, len(known)), np.searchsorted(known, 0)
+            out.append((known[first:], n[first:]))
+        return out
+
+
+def copies_key(hashes: np.ndarray) -> tuple[int, ...]:
+    low = hashes & np.uint64(0xFFFFFFFF)
+    return tuple(int((low * np.uint64(m) & np.uint64(0xFFFFFFFF)).min()) for m in HASHES) if len(hashes) else ()
+
+
+def emphasis(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> np.ndarray:
+    """Of terms in so many toxic and other example groups."""
+    a, c = toxic.astype("float64"), other.astype("float64")
+    expected = (a + c) * n_toxic / max(1, n_toxic + n_other)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        g2 = 2 * (np.where(a > 0, a * np.log(a / expected), 0.0) + np.where(c > 0, c * np.log(c / (a + c - expected)), 0.0))
+    lift = np.log((a + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_other + 1))
+    return 1 + np.maximum(np.sqrt(np.maximum(np.nan_to_num(g2), 0)) - CHANCE, 0) * np.maximum(lift, 0)
+
+
 @dataclass
 class Index:
-    """TF-IDF vectors of examples, of length 1, by term: positions in order, weights, block starts and block maxima."""
+    """TF-IDF vectors of examples, of length 1, by term. An entry is a term in a block of examples: its largest weight, and its postings."""
 
-    terms: dict[str, int]
-    idf: np.ndarray
+    terms: np.ndarray  # hashes in order
+    weight: np.ndarray
     labels: np.ndarray
     ids: np.ndarray
     shares: list[float]
 
-    def fill(self, vectors: list[dict[int, int]]) -> None:
-        self.blocks = -(-len(vectors) // BLOCK)
-        held: list[list[tuple[int, float]]] = [[] for _ in self.terms]
-        for at, counts in enumerate(vectors):
-            for t, w in self.weights(counts):
-                held[t].append((at, w))
-        self.postings = []
-        for rows in held:
-            at, w = np.array([r[0] for r in rows], "int64"), np.array([r[1] for r in rows])
-            edges = np.searchsorted(at, np.arange(self.blocks + 1) * BLOCK)
-            top = np.array([w[a:b].max(initial=0.0) for a, b in zip(edges, edges[1:], strict=False)])
-            self.postings.append((at, w, edges, top))
-
-    def weights(self, counts: dict[int, int]) -> list[tuple[int, float]]:
-        w = [(t, (1 + math.log(n)) * self.idf[t]) for t, n in sorted(counts.items())]
-        norm = math.sqrt(sum(x * x for _, x in w))
-        return [(t, x / norm) for t, x in w]
-
-    def nearest(self, counts: dict[int, int], k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """(similarity, position) of the k nearest examples with any term in common; ties go to the lower position."""
-        query = self.weights(counts)
-        bound = np.zeros(self.blocks)
-        for t, w in query:
-            bound += w * self.postings[t][3]
+    @staticmethod
+    def of(vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, shares: list[float], terms: np.ndarray, weight: np.ndarray) -> Index:
+        rows = [(np.searchsorted(terms, h), (1 + np.log(n)) * weight[np.searchsorted(terms, h)]) for h, n in vectors]
+        norms = np.array([np.sqrt((w * w).sum()) for _, w in rows])
+        lead = np.array([at[weight[at].argmin()] if len(at) else -1 for at, _ in rows])  # its most frequent term: texts of one language have one
+        order = np.lexsort((ids, norms, lead, labels))
+        index = Index(terms, weight, labels[order], ids[order], shares)
+        index.n, index.blocks = len(order), -(-len(order) // BLOCK)
+        lengths = [len(rows[i][0]) for i in order]
+        at = np.repeat(np.arange(len(order), dtype="int32"), lengths)
+        term = np.concatenate([rows[i][0] for i in order]) if len(order) else np.zeros(0, "int64")
+        w = np.concatenate([rows[i][1] / norms[i] for i in order]) if len(order) else np.zeros(0)
+        by = np.lexsort((at, term))
+        at, term, index.posting_weight = at[by], term[by], w[by]
+        index.posting_at = at
+        block = at // BLOCK
+        first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(at) else np.zeros(0, "int64")
+        index.entry_block = block[first]
+        index.entry_top = np.maximum.reduceat(index.posting_weight, first) if len(at) else np.zeros(0)
+        index.entry_first = np.r_[first, len(at)].astype("int32")
+        index.term_first = np.searchsorted(term[first], np.arange(len(terms) + 1)).astype("int32")
+        return index
+
+    def known(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the terms that the index has, and their counts."""
+        if not len(self.terms):
+            return np.zeros(0, "int64"), np.zeros(0, "int64")
+        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
+        held = self.terms[at] == hashes
+        return at[held], counts[held]
+
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, skip: int | None = None) -> list[tuple[float, int]]:
+        """(similarity, position) of the k nearest examples with any term in common; ties go to the lower position. ``skip``: an id that stays out."""
+        query = (1 + np.log(counts)) * self.weight[terms]
+        query = query / max(np.sqrt((query * query).sum()), 1e-300)
+        sizes = self.term_first[terms + 1] - self.term_first[terms]
+        entries = run_places(self.term_first[terms], sizes)
+        q, block = np.repeat(query, sizes), self.entry_block[entries]
+        bound = np.bincount(block, q * self.entry_top[entries], self.blocks)
+        order = np.argsort(-bound, kind="stable")
         best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or len(best) == k and bound[block] < -best[-1][0] - 1e-12:
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in query:
-                at, weight, edges, _ = self.postings[t]
-                part = slice(edges[block], edges[block + 1])
-                scores[at[part] - block * BLOCK] += w * weight[part]
-            found = [(-scores[i], block * BLOCK + int(i)) for i in np.flatnonzero(scores) if block * BLOCK + i != skip]
-            best = sorted(best + found)[:k]
+        chosen = np.zeros(self.blocks, bool)
+        chosen[order[:FIRST_BLOCKS]] = True
+        for rest in (True, False):
+            mine = chosen[block]
+            e = entries[mine]
+            sizes = self.entry_first[e + 1] - self.entry_first[e]
+            postings = run_places(self.entry_first[e], sizes)
+            score = np.bincount(self.posting_at[postings], np.repeat(q[mine], sizes) * self.posting_weight[postings], self.n)
+            if skip is not None:
+                score[self.ids == skip] = 0
+            some = np.flatnonzero(score > 0)
+            some = some[np.argsort(-score[some], kind="stable")[:k]]
+            best = sorted(best + [(-score[i], int(i)) for i in some])[:k]
+            if rest:
+                chosen = bound >= (-best[-1][0] - 1e-12 if len(best) == k else 1e-300)
+                chosen[order[:FIRST_BLOCKS]] = False
+                if not chosen.any():
+                    break
         return [(-s, at) for s, at in best]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
@@ -123,98 +212,116 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 @dataclass
 class ToxicityModel:
     index: Index | None
-    none: float  # score without any term
+    none: float  # score of a text that shares no term with any example
     knots: np.ndarray
     values: np.ndarray
 
-    def counts(self, text: str) -> dict[int, int]:
-        terms = self.index.terms
-        return {terms[t]: n for t, n in Counter(filter(terms.__contains__, TERM.findall(text.lower()))).items()}
-
-    def judge(self, text: str, memo: dict) -> tuple[float, list[tuple[float, int]]]:
-        if self.index is None or not (counts := self.counts(text)):
-            return self.none, []
-        key = tuple(sorted(counts.items()))
-        if key not in memo:
-            if len(memo) >= MEMO:
-                memo.clear()
-            near = self.index.nearest(counts, K)
-            score = float(np.interp(self.index.vote(near), self.knots, self.values)) if near else self.none
-            memo[key] = score, near
-        return memo[key]
+    def judge(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
+        near = self.index.nearest(terms, counts, K) if len(terms) else []
+        return float(np.interp(self.index.vote(near), self.knots, self.values)) if near else self.none, near
 
     def evidence(self, near: list[tuple[float, int]]) -> list[dict]:
         return [{"doc_id": int(self.index.ids[at]), "similarity": float(s), "toxic": int(self.index.labels[at])} for s, at in near]
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> ToxicityModel:
-    chosen, shares = labelled_examples(labels, "toxic", train, max_examples)
-    texts = docs.select("doc_id", text_or_empty(docs).alias("text"))
-    examples = texts.join(F.broadcast(chosen), "doc_id")  # at most 2 * max_examples rows
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [term_counts(t) for t in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([h.view("int64") for h, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.list_(pa.int64()))], ["doc_id", "y", "terms", "counts"])
 
-    def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for doc_id, text, y in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                counts = Counter(TERM.findall(text.lower())) or {"": 0}
-                n, codes = len(counts), np.array([zlib.crc32(t.encode()) for t in counts], "uint64")
-                group = hash(tuple(int((codes * np.uint64(m) % np.uint64(1 << 32)).min()) for m in HASHES))
-                yield pa.RecordBatch.from_arrays([pa.array([doc_id] * n, pa.int64()), pa.array([y] * n, pa.int32()), pa.array(list(counts)), pa.array(list(counts.values()), pa.int64()), pa.array([group] * n, pa.int64())], ["doc_id", "y", "term", "tf", "copies"])
-
-    held = examples.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y").mapInArrow(terms_of, "doc_id long, y int, term string, tf long, copies long").persist()
-    sizes = {r["y"]: r for r in held.groupBy("y").agg(F.count_distinct("doc_id").alias("n"), F.count_distinct("copies").alias("groups")).collect()}
-    n0, n1, g0, g1 = (sizes[y][c] if y in sizes else 0 for c in ("n", "groups") for y in (0, 1))
-    if not n1:
-        held.unpersist()
-        return ToxicityModel(None, 0.0, np.zeros(0), np.zeros(0))
-    stats = held.where("tf > 0").groupBy("term").agg(F.count_distinct(F.when(F.col("y") == 1, F.col("copies"))).alias("a"), F.count_distinct(F.when(F.col("y") == 0, F.col("copies"))).alias("c"))
-    a, c = F.col("a").cast("double"), F.col("c").cast("double")
-    b, d = g1 - a, g0 - c
-    chi2 = (g0 + g1) * (a * d - b * c) ** 2 / F.nullif((a + b) * (c + d) * (a + c) * (b + d), F.lit(0.0))
-    lift = (a + 0.5) / (g1 + 1) / ((c + 0.5) / (g0 + 1))
-    good = stats.withColumn("chi2", F.coalesce(chi2, F.lit(float(g0 + g1)))).where((F.col("chi2") >= CHI2) & (lift >= LIFT) & (a >= LEAST))
-    terms = {r["term"]: i for i, r in enumerate(good.orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect())}
-    if not terms:
-        held.unpersist()
-        return ToxicityModel(None, n1 * shares[1] / (n1 * shares[1] + n0 * shares[0]), np.zeros(0), np.zeros(0))
-    kept = held.join(F.broadcast(docs.sparkSession.createDataFrame([(t, i) for t, i in terms.items()], "term string, t int")), "term").select("doc_id", "y", "t", "tf")
-    vectors: dict[tuple[int, int], dict[int, int]] = {}
-    for r in kept.collect():  # at most 2 * max_examples vectors
-        vectors.setdefault((r["doc_id"], r["y"]), {})[r["t"]] = r["tf"]
-    held.unpersist()
+
+def term_emphasis(vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Each term's emphasis, by the example groups that hold it."""
+    groups: dict[tuple, int] = {}
+    group = np.array([groups.setdefault((*copies_key(h), y), len(groups)) for (h, _), y in zip(vectors, labels.tolist(), strict=True)])
+    toxic = np.array([k[-1] for k in groups])
+    pairs = np.unique(np.concatenate([np.searchsorted(terms, h) * len(groups) + g for (h, _), g in zip(vectors, group, strict=True)]))
+    term, bad = pairs // len(groups), toxic[pairs % len(groups)]
+    return emphasis(np.bincount(term[bad == 1], minlength=len(terms)), np.bincount(term[bad == 0], minlength=len(terms)), int(toxic.sum()), int((toxic == 0).sum()))
+
+
+def document_frequencies(texts: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
+    """The number of texts, and of those that hold each term: a task leaves one row for each term that it met."""
+    held = texts.sparkSession.sparkContext.broadcast(terms)  # of a bounded sample
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(held.value)
         seen, n = np.zeros(len(terms), "int64"), 0
         for b in batches:
-            for text in b.column(0).to_pylist():
-                for t in set(filter(terms.__contains__, TERM.findall(text.lower()))):
-                    seen[terms[t]] += 1
+            for at in range(0, b.num_rows, TEXTS):
+                for place, _ in vocabulary.places(b.column(0).slice(at, TEXTS).to_pylist()):
+                    seen[place] += 1
             n += b.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, np.arange(len(terms))], pa.int32()), pa.array(np.r_[n, seen])], ["t", "n"])
-
-    df = dict(texts.select("text").mapInArrow(frequencies, "t int, n long").groupBy("t").agg(F.sum("n")).collect())  # a row for each term
-    idf = np.array([math.log((df[-1] + 1) / (df.get(i, 0) + 1)) + 1 for i in range(len(terms))])
-    order = sorted(vectors)
-    index = Index(terms, idf, np.array([y for _, y in order]), np.array([i for i, _ in order]), shares)
-    index.fill([vectors[x] for x in order])
-    with1 = sum(y for _, y in order)
-    lone = [(n0 - len(order) + with1) * shares[0], (n1 - with1) * shares[1]]
-    none = (lone[1] + 0.5) / (sum(lone) + 1)
-    votes = [(index.vote(near), at) for at, x in enumerate(order) if (near := index.nearest(vectors[x], K, skip=at))]
-    y = index.labels[[at for _, at in votes]] if votes else np.zeros(0, int)
-    x = np.array([v for v, _ in votes] + [0.0, 1.0])
-    knots, values = isotonic(x, np.r_[y, 0, 1], np.array([shares[k] for k in y] + [1.0, 1.0]))
-    return ToxicityModel(index, none, knots, values)
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some], pa.int32()), pa.array(np.r_[n, seen[some]])], ["t", "n"])
+
+    found = texts.mapInArrow(frequencies, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    t, n = found["t"].to_numpy(), found["n"].to_numpy()
+    df = np.zeros(len(terms), "int64")
+    df[t[t >= 0]] = n[t >= 0]
+    return int(n[t < 0].sum()), df
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, max_examples: int = MAX_EXAMPLES) -> ToxicityModel:
+    spark = docs.sparkSession
+    small_batches(spark)
+    chosen, shares = labelled_examples(labels, "toxic", train, max_examples)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
+    chosen = cut(chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "y"), "chosen")
+    examples = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")  # at most 2 * max_examples ids
+    found = cut(examples.mapInArrow(_vectors, "doc_id long, y int, terms array<long>, counts array<long>"), "examples")
+    rows = found.orderBy("doc_id", "terms", "counts").toArrow().to_pylist()
+    labels_of, ids = np.array([r["y"] for r in rows], "int64"), np.array([r["doc_id"] for r in rows], "int64")
+    if not labels_of.sum():
+        return ToxicityModel(None, 0.0, np.zeros(0), np.zeros(0))
+    vectors = [(np.array(r["terms"], "int64").view("uint64"), np.array(r["counts"], "int64")) for r in rows]
+    terms = np.unique(np.concatenate([h for h, _ in vectors]))
+    if not len(terms):
+        return ToxicityModel(None, 0.0, np.zeros(0), np.zeros(0))
+    n, df = document_frequencies(texts.select("text"), terms)
+    weight = (np.log((n + 1) / (df + 1)) + 1) * term_emphasis(vectors, labels_of, terms)
+    index = Index.of(vectors, labels_of, ids, shares, terms, weight)
+    held = spark.sparkContext.broadcast(index)  # bounded by max_examples
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            votes = []
+            for i, h, c in zip(*(b.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
+                near = held.value.nearest(*held.value.known(np.array(h, "int64").view("uint64"), np.array(c, "int64")), K, skip=i) if h else []
+                votes.append(held.value.vote(near) if near else None)
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(votes, pa.float64())], ["y", "vote"])
+
+    votes = found.repartition(tasks(spark)).mapInArrow(left_out, "y int, vote double").where("vote IS NOT NULL").toArrow()
+    y = votes["y"].to_numpy().astype("int64")
+    knots, values = isotonic(np.r_[votes["vote"].to_numpy(), 0.0, 1.0], np.r_[y, 0, 1], np.array([shares[k] for k in y] + [1.0, 1.0]))
+    sums = [shares[k] * (labels_of == k).sum() for k in (0, 1)]
+    return ToxicityModel(index, float(sums[1] / sum(sums)), knots, values)
 
 
 def toxicity(spark: SparkSession, model: ToxicityModel):
     """A function of a text column: score and evidence."""
-    held = spark.sparkContext.broadcast(model)  # bounded by max_examples and max_terms
-    memo: dict = {}  # of this task
+    small_batches(spark)
+    held = spark.sparkContext.broadcast(model)  # bounded by max_examples
 
     @F.pandas_udf(EVIDENCE)
-    def judge(texts: pd.Series) -> pd.DataFrame:
-        rows = [held.value.judge(t or "", memo) for t in texts]
-        return pd.DataFrame({"score": [s for s, _ in rows], "evidence": [held.value.evidence(n) for _, n in rows]})
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = held.value
+        vocabulary = Vocabulary(model.index.terms if model.index else np.zeros(0, "uint64"))
+        memo: dict = {}  # copies are judged once, within bounds
+        for texts in batches:
+            rows = []
+            for at in range(0, len(texts), TEXTS):
+                part = [t or "" for t in texts[at : at + TEXTS]]
+                if model.index is None:
+                    rows += [(0.0, [])] * len(part)
+                    continue
+                keys = [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in part]
+                if len(memo) > MEMO:
+                    memo = {}
+                new = {k: t for k, t in zip(keys, part, strict=True) if k not in memo}
+                memo.update(zip(new, (model.judge(*x) for x in vocabulary.places(list(new.values()))), strict=True))
+                rows += [memo[k] for k in keys]
+            yield pd.DataFrame({"score": [s for s, _ in rows], "evidence": [model.evidence(n) for _, n in rows]})
 
     return judge
 

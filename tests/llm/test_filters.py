@@ -1,11 +1,15 @@
 """Mixing, sharding, toxicity, quality and personal data, and the pipeline."""
 
 import itertools
+import math
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from helpers import clashing, documents, rows
 from pyspark.sql import functions as F
 
@@ -99,22 +103,80 @@ def test_shards(spark, tmp_path):
     store.append(docs.limit(0))
 
 
-def brute_nearest(index, vectors, counts, k):
-    q = dict(index.weights(counts))
-    scores = [(sum(w * q.get(t, 0) for t, w in index.weights(v)), -i) for i, v in enumerate(vectors)]
-    return [(round(s, 9), -i) for s, i in sorted(scores, reverse=True)[:k] if s > 0]
+def brute_cosines(vectors, weight, query):
+    """Of {term: count} dicts."""
+    weigh = lambda v: {t: (1 + math.log(n)) * weight[t] for t, n in v.items()}
+    norm = lambda w: math.sqrt(sum(x * x for x in w.values()))
+    q = weigh(query)
+    rows = [weigh(v) for v in vectors]
+    return [sum(x * q.get(t, 0) for t, x in w.items()) / (norm(w) * norm(q)) if w and q else 0.0 for w in rows]
 
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("block", [4, 64])
+def test_block_max_search_is_exact(monkeypatch, block):
+    monkeypatch.setattr(toxicity, "BLOCK", block)
     rng = random.Random(1)
-    vectors = [{t: rng.randint(1, 4) for t in rng.sample(range(20), rng.randint(1, 4))} for _ in range(400)]
-    index = toxicity.Index({str(i): i for i in range(20)}, np.linspace(1, 5, 20), np.zeros(400, int), np.arange(400), [1, 1])
-    index.fill(vectors)
-    for _ in range(100):
-        counts = {t: rng.randint(1, 4) for t in rng.sample(range(20), rng.randint(1, 5))}
-        got = [(round(s, 9), at) for s, at in index.nearest(counts, 10)]
-        want = brute_nearest(index, vectors, counts, 10)
-        assert [s for s, _ in got] == [s for s, _ in want]
+    terms = np.arange(10, 30, dtype="uint64")
+    vectors = [{t: rng.randint(1, 4) for t in sorted(rng.sample(range(20), rng.randint(1, 4)))} for _ in range(400)]
+    pairs = [(terms[list(v)], np.array(list(v.values()))) for v in vectors]
+    weight, ids = np.linspace(1, 5, 20), np.arange(400)
+    index = toxicity.Index.of(pairs, np.array([i % 2 for i in range(400)]), ids, [1, 1], terms, weight)
+    for skip in [None] * 60 + list(range(20)):
+        query = vectors[skip] if skip is not None else {t: rng.randint(1, 4) for t in sorted(rng.sample(range(20), rng.randint(1, 5)))}
+        got = index.nearest(np.array(list(query)), np.array(list(query.values())), 10, skip)
+        cosines = {i: c for i, c in enumerate(brute_cosines(vectors, weight, query)) if i != skip and c > 0}
+        assert [round(s, 9) for s, _ in got] == [round(c, 9) for c in sorted(cosines.values(), reverse=True)[:10]]
+        assert all(abs(cosines[int(index.ids[at])] - s) < 1e-9 and index.labels[at] == index.ids[at] % 2 for s, at in got)
+
+
+def test_vocabulary_finds_the_terms_of_texts():
+    rng = random.Random(1)
+    texts = ["".join(rng.choices(["ab", "C", "é", " ", "-", "'", "1", "\n", "Σ", "\x85", "_", ", "], k=40)) for _ in range(500)] + [""]
+    terms = np.unique(np.concatenate([toxicity.term_counts(t)[0] for t in texts[:200]]))
+    for x, (place, n) in zip(texts, toxicity.Vocabulary(terms).places(texts), strict=True):
+        h, c = toxicity.term_counts(x)
+        known = np.isin(h, terms)
+        assert terms[place].tolist() == h[known].tolist() and n.tolist() == c[known].tolist()
+
+
+def test_emphasis_leaves_chance_alone():
+    rng = np.random.default_rng(0)
+    toxic, other = rng.binomial(1500, 0.01, 100_000), rng.binomial(1500, 0.01, 100_000)
+    assert (toxicity.emphasis(toxic, other, 1500, 1500) > 1).mean() < 1e-4
+    assert toxicity.emphasis(np.array([0, 100, 0]), np.array([0, 0, 100]), 1500, 1500).round().tolist() == [1, 34, 1]
+
+
+def test_toxicity_query_equals_brute_force(spark, small):
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    held = {i for i in docs if zlib.crc32(str(i).encode()) % 5 == 0}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{small}/labels.parquet").where("toxic IS NOT NULL").collect()}
+    counts = {i: dict(Counter(re.findall(r"[^\W\d_]+", t.lower()))) for i, t in docs.items()}
+    train = sorted(i for i in labels if i in docs and i not in held)
+    y = {i: labels[i] for i in train}
+    vocabulary = sorted({t for i in train for t in counts[i]})
+    hashes = np.array([xxhash.xxh64_intdigest(t.encode()) for t in vocabulary], "uint64")
+    order = np.argsort(hashes)
+    emphasis = toxicity.term_emphasis([toxicity.term_counts(docs[i]) for i in train], np.array([y[i] for i in train]), hashes[order])
+    df = Counter(t for c in counts.values() for t in c)
+    weight = {vocabulary[k]: (math.log((len(docs) + 1) / (df[vocabulary[k]] + 1)) + 1) * e for k, e in zip(order, emphasis, strict=True)}
+    assert {y[i] for i in train} == {0, 1}  # both classes are in the index, whole
+
+    def vote(query, skip=None):
+        known = {t: n for t, n in query.items() if t in weight}
+        found = sorted(((-round(c, 9), i) for i, c in zip(train, brute_cosines([counts[i] for i in train], weight, known), strict=True) if c > 0 and i != skip))[:10]
+        w = [1 / (1 + c + 0.1) for c, _ in found]
+        return sum(a * y[i] for a, (_, i) in zip(w, found, strict=True)) / sum(w) if found else None
+
+    votes = [(vote(counts[i], i), y[i]) for i in train]
+    votes = [(v, k) for v, k in votes if v is not None]
+    knots, values = toxicity.isotonic(np.array([v for v, _ in votes] + [0.0, 1.0]), np.array([k for _, k in votes] + [0, 1]), np.ones(len(votes) + 2))
+    none = sum(y.values()) / len(y)
+    got = {r["doc_id"]: r for r in toxicity.op8_toxicity(spark, small).collect()}
+    assert got.keys() == docs.keys()
+    for i in docs:
+        v = vote(counts[i])
+        want = none if v is None else float(np.interp(v, knots, values))
+        assert abs(got[i]["score"] - want) < 1e-6 and got[i]["held_out"] == (i in held) and got[i]["predicted"] == int(got[i]["score"] >= 0.5)
 
 
 def test_isotonic():
