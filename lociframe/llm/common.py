@@ -58,3 +58,12 @@ def text_or_empty(docs: DataFrame) -> Column:
 def tasks(spark: SparkSession) -> int:
     """The number of partitions that a repartitioning by key deals to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: So many rows of two or three numbers (some 30 MB as a hash table) may go to all executors.
+BROADCAST_ROWS = 300_000
+
+
+def sent_if_small(stored: DataFrame) -> DataFrame:
+    """A table of narrow rows, marked for broadcast if its count allows it; else Spark joins it by shuffle or splits what is skewed."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored

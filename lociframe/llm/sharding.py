@@ -4,32 +4,43 @@ A store is a folder of immutable Parquet shards and of manifests, one per versio
 live shard, so it is read, joined and counted as one; no list of shards passes through the driver.
 
 * ``append`` writes an arrival as it is partitioned, without a shuffle: each task's file is a small shard.
-* ``compact`` takes shards below half the target size. A tier holds shards within a factor ``FAN`` in size; of the shards of a
-  tier, in hash slots of bounded length, those that follow each other up to the target size are merged into one file.
-  Only rows that are merged are shuffled, and the merged files are new shards: full ones are never written again.
-* A commit writes the next manifest under a name of its own and renames it to its version; the rename fails if that version is
-  there. So a reader sees a whole version or none, and of two writers one starts over.
-* ``vacuum`` removes folders of arrivals and merges in which no shard is live.
-
-A failed task or a lost executor leaves files that no manifest names. Null and empty texts have 0 bytes; equal rows and
-other columns are kept as they are, but one named ``shard``, ``part`` or ``merged`` is refused. Appending an empty table commits a
-version without new shards.
+* ``compact`` takes shards below half the target size, by the bytes of their files. A tier holds shards within a factor ``FAN``
+  in size; of the shards of a tier, in hash slots of bounded length, those that follow each other up to the target size are a
+  run. Runs that reach the target, or hold ``FAN`` shards, become one file each, written by a task of its own. Only rows that
+  are merged are shuffled, and full shards are never written again.
+* A commit writes the next manifest under a name of its own, and then the file of its version, which only one writer can
+  make: a hard link on local disks, an exclusive creation elsewhere. So a reader sees a whole version or none. The writer that comes second
+  starts again from the version that it lost to: an append adds its shards to it, a merge is dropped if its shards are gone.
+* ``vacuum`` removes data that no retained version names and that is older than a grace period, as other writers may be about to
+  commit younger data. Nothing else deletes, and old versions stay readable until then.
+
+A failed task or a lost executor leaves files that no manifest names. Equal rows, nulls and all other columns are kept as they
+are; columns named ``shard``, ``part`` or ``merged`` are refused, and so is a column that changes its type. Appending an empty
+table commits a version without new shards. An empty store reads as no rows, with the columns of what was appended.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
+from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import new_path, table, tasks
+from .common import cut, new_path, table
 
 TARGET_BYTES = 128 << 20
 FAN = 4
 BASE_BYTES = 1 << 16
 SLOT = 10_000
-ARRIVALS = 2
+ARRIVALS = 4
+RETRIES = 20
+#: Plans of so many shards (some 20 MB) go to all executors; above that Spark joins by the shard.
+BROADCAST_SHARDS = 100_000
 MANIFEST = "shard string, part string, rows long, bytes long, version int"
 
 
@@ -38,102 +49,166 @@ class ShardStore:
         self.spark, self.root, self.target, self.fan = spark, root.rstrip("/"), target_bytes, fan
 
     def _path(self, path: str):
-        jvm = self.spark._jvm
-        found = jvm.org.apache.hadoop.fs.Path(path)
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
         return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _publish(self, version: int, said: str) -> bool:
+        """Makes the file of a version, unless it is there."""
+        final, store = self._path(f"versions/v={version}")
+        local = store.getUri().getScheme() == "file"
+        made, _ = self._path(f"versions/_{uuid.uuid4().hex}") if local else (final, None)
+        store.mkdirs(final.getParent())
+        try:
+            out = store.create(made, False)
+            out.write(bytearray(said.encode()))
+            out.close()
+            if local:
+                paths = self.spark._jvm.java.nio.file.Paths
+                self.spark._jvm.java.nio.file.Files.createLink(paths.get(final.toUri()), paths.get(made.toUri()))
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        finally:
+            if local:
+                store.delete(made, False)
+        return True
+
     def versions(self) -> list[int]:
-        path, store = self._path(f"{self.root}/manifest")
+        path, store = self._path("versions")
         if not store.exists(path):
             return []
-        names = [x.getPath().getName() for x in store.listStatus(path)]
-        return sorted(int(n[2:]) for n in names if n.startswith("v="))
+        return sorted(int(n[2:]) for n in (x.getPath().getName() for x in store.listStatus(path)) if n.startswith("v="))
+
+    def _said(self, version: int) -> dict:
+        path, store = self._path(f"versions/v={version}")
+        stream = store.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def schema(self, version: int | None = None) -> T.StructType:
+        known = self.versions()
+        return T.StructType.fromJson(self._said(known[-1] if version is None else version)["schema"]) if known else T.StructType()
 
     def manifest(self, version: int | None = None) -> DataFrame:
         known = self.versions()
         if not known:
             return self.spark.createDataFrame([], MANIFEST)
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/v={known[-1] if version is None else version}")
-
-    def commit(self, shards: DataFrame, version: int) -> None:
-        """Publishes ``shards`` as ``version``, or fails if that version is there."""
-        mine = f"{self.root}/manifest/_{uuid.uuid4().hex}"
-        shards.write.parquet(mine)
-        source, store = self._path(mine)
-        final, _ = self._path(f"{self.root}/manifest/v={version}")
-        if store.exists(final) or not store.rename(source, final):
-            store.delete(source, True)
-            raise RuntimeError(f"version {version} is there already")
-
-    def _rows(self, parts: list[str]) -> DataFrame:
-        """All rows in these folders, live or not, with the file that holds each: ``data/part=.../merged=.../file``."""
-        reader = self.spark.read.option("mergeSchema", True).option("basePath", f"{self.root}/data")
-        return reader.parquet(*[f"{self.root}/data/part={p}" for p in parts]).drop("part", "merged").withColumn("shard", F.col("_metadata.file_path"))
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifests/{self._said(known[-1] if version is None else version)['table']}")
+
+    def commit(self, change: Callable[[DataFrame, int], DataFrame | None], schema: T.StructType | None = None) -> int | None:
+        """Publishes what ``change`` makes of the last version's shards and the next version's number; again if another writer was first.
+
+        ``change`` may give None where its merge no longer holds; then nothing is committed.
+        """
+        for _ in range(RETRIES):
+            before = max([0, *self.versions()])
+            shards = change(self.manifest(before) if before else self.manifest(), before + 1)
+            if shards is None:
+                return None
+            name, columns = uuid.uuid4().hex, self.schema(before) if before else T.StructType()
+            shards.write.parquet(f"{self.root}/manifests/{name}")
+            for field in (schema or T.StructType()).fields:
+                if field.name not in columns.names:
+                    columns = columns.add(T.StructField(field.name, field.dataType, True))
+                elif columns[field.name].dataType != field.dataType:
+                    raise ValueError(f"column {field.name} is of another type in the store")
+            if self._publish(before + 1, json.dumps({"table": name, "schema": columns.jsonValue(), "time": time.time()})):
+                return before + 1
+            path, store = self._path(f"manifests/{name}")
+            store.delete(path, True)
+        raise RuntimeError("other writers were always first")
+
+    def _rows(self, parts: list[str], schema: T.StructType) -> DataFrame:
+        """All rows in these folders, live or not, with the file that holds each: ``data/part=.../file``."""
+        reader = self.spark.read.schema(schema)
+        return reader.parquet(*[f"{self.root}/data/{p}" for p in parts]).withColumn("shard", F.col("_metadata.file_path"))
 
     def _listed(self, part: str, version: int) -> DataFrame:
         """The shards of a folder: one per file, by the path that Spark gives each row."""
-        files = self._rows([part]).select("shard", F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("n"))
-        sizes = files.groupBy("shard").agg(F.count("*").alias("rows"), F.sum("n").cast("long").alias("bytes"))
-        return sizes.select("shard", F.lit(part).alias("part"), "rows", "bytes", F.lit(version).alias("version"))
+        files = self.spark.read.schema(T.StructType()).parquet(f"{self.root}/data/{part}").select(F.col("_metadata.file_path").alias("shard"), F.col("_metadata.file_size").alias("n"))
+        found = files.groupBy("shard").agg(F.count("*").alias("rows"), F.max("n").alias("bytes"))
+        return found.select("shard", F.lit(part).alias("part"), "rows", "bytes", F.lit(version).alias("version"))
 
     def append(self, rows: DataFrame) -> int:
         if {"shard", "part", "merged"} & {c.lower() for c in rows.columns}:
             raise ValueError("columns may not be named shard, part or merged")
-        version, part = max([0, *self.versions()]) + 1, uuid.uuid4().hex
-        rows.write.parquet(f"{self.root}/data/part={part}/merged=new")
-        self.commit(self.manifest().union(self._listed(part, version)), version)
-        return version
+        part = uuid.uuid4().hex
+        rows.write.parquet(f"{self.root}/data/{part}")
+        return self.commit(lambda live, version: live.union(self._listed(part, version)), rows.schema)
 
     def plan(self) -> DataFrame:
-        """(shard, part, merged): shards to merge and the name of the file that they go to."""
+        """(shard, part, merged): shards to merge and the number of the file that they go to."""
         small = self.manifest().where(F.col("bytes") < self.target / 2)
         tier = F.floor(F.log(float(self.fan), F.greatest(F.col("bytes"), F.lit(BASE_BYTES)) / BASE_BYTES))
         slots = F.ceil(F.count("*").over(Window.partitionBy("tier")) / SLOT)
         placed = small.withColumn("tier", tier).withColumn("slot", F.pmod(F.xxhash64("shard"), slots))
         order = Window.partitionBy("tier", "slot").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-        run = F.floor(F.coalesce(F.sum("bytes").over(order), F.lit(0)) / self.target)
-        grouped = placed.withColumn("run", run)
-        enough = F.count("*").over(Window.partitionBy("tier", "slot", "run"))
-        return grouped.withColumn("n", enough).where(F.col("n") >= self.fan).select("shard", "part", F.concat_ws("-", "tier", "slot", "run").alias("merged"))
+        placed = placed.withColumn("run", F.floor(F.coalesce(F.sum("bytes").over(order), F.lit(0)) / self.target))
+        run = Window.partitionBy("tier", "slot", "run")
+        full = (F.count("*").over(run) >= self.fan) | (F.sum("bytes").over(run) >= self.target)
+        chosen = cut(placed.withColumn("full", full).where("full").select("shard", "part", "tier", "slot", "run"), "plan")
+        runs = chosen.select("tier", "slot", "run").distinct()
+        runs = runs.withColumn("merged", F.row_number().over(Window.orderBy("tier", "slot", "run")) - 1)  # a row per file to write
+        return cut(chosen.join(runs, ["tier", "slot", "run"]).select("shard", "part", "merged"), "plan")
 
     def compact(self) -> int:
-        """Merges until no tier has ``fan`` small shards left; returns the version."""
+        """Merges until no run is full; returns the version."""
         while True:
-            version, plan = max([0, *self.versions()]) + 1, self.plan().persist()
+            plan = self.plan()
             parts = [r["part"] for r in plan.select("part").distinct().collect()]  # folders of live arrivals
             if not parts:
-                plan.unpersist()
-                return version - 1
-            part = uuid.uuid4().hex
-            moved = self._rows(parts).join(plan.select("shard", "merged"), "shard").drop("shard")
-            moved.repartition(tasks(self.spark), "merged").write.partitionBy("merged").parquet(f"{self.root}/data/part={part}")
-            live = self.manifest().join(plan.select("shard"), "shard", "left_anti")
-            self.commit(live.unionByName(self._listed(part, version)), version)
-            plan.unpersist()
-            self.vacuum()
-
-    def vacuum(self) -> None:
-        live = {r["part"] for r in self.manifest().select("part").distinct().collect()}
-        path, store = self._path(f"{self.root}/data")
-        for x in store.listStatus(path):
-            if x.getPath().getName().removeprefix("part=") not in live:
-                store.delete(x.getPath(), True)
-
-    def read(self) -> DataFrame:
+                return max([0, *self.versions()])
+            part, schema = uuid.uuid4().hex, self.schema()
+            number, shards = plan.agg(F.max("merged"), F.count("*")).first()
+            chosen = plan.select("shard", "merged")
+            moved = self._rows(parts, schema).join(F.broadcast(chosen) if shards <= BROADCAST_SHARDS else chosen, "shard")
+            moved.repartitionById(number + 1, F.col("merged").cast("int")).drop("shard", "merged").write.parquet(f"{self.root}/data/{part}")
+
+            def merged(live: DataFrame, version: int, part: str = part, plan: DataFrame = plan, shards: int = shards) -> DataFrame | None:
+                if live.join(plan.select("shard"), "shard", "left_semi").count() < shards:
+                    return None
+                return live.join(plan.select("shard"), "shard", "left_anti").unionByName(self._listed(part, version))
+
+            self.commit(merged)
+
+    def vacuum(self, retain: int = 10, grace_seconds: float = 86_400.0) -> None:
+        """Removes versions before the last ``retain``, and folders that the others do not name; nothing younger than the grace period goes."""
+        known, said = self.versions(), {v: self._said(v) for v in self.versions()}
+        old = [v for v in known[:-retain] if said[v]["time"] <= time.time() - grace_seconds]
+        kept = [v for v in known if v not in old]
+        for v in old:
+            path, store = self._path(f"versions/v={v}")
+            store.delete(path, False)
+        named: set[str] = set()
+        for v in kept:
+            named |= {r["part"] for r in self.manifest(v).select("part").distinct().collect()}  # folders, not shards
+        for folder, live in (("data", named), ("manifests", {said[v]["table"] for v in kept})):
+            path, store = self._path(folder)
+            for x in store.listStatus(path) if store.exists(path) else []:
+                if x.getPath().getName() not in live and x.getModificationTime() / 1000 <= time.time() - grace_seconds:
+                    store.delete(x.getPath(), True)
+
+    def read(self, version: int | None = None) -> DataFrame:
         """All live rows with their shard."""
-        shards = self.manifest()
+        shards, schema = self.manifest(version), self.schema(version)
         parts = [r["part"] for r in shards.select("part").distinct().collect()]
-        if not parts:
-            raise ValueError("the store is empty")
-        return self._rows(parts).join(shards.select("shard", "rows", "bytes", "version"), "shard")
+        rows = self._rows(parts, schema) if parts else self.spark.createDataFrame([], schema.add("shard", "string") if "shard" not in schema.names else schema)
+        return rows.join(shards.select("shard", "rows", "bytes", "version"), "shard")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents in ``ARRIVALS`` arrivals, each appended and compacted; per document, the shard that holds it in the end."""
+    """Documents in ``ARRIVALS`` arrivals, each appended and compacted; per document, the shard that holds it in the end.
+
+    The store has one writer here, so data that a merge has replaced goes at once.
+    """
     docs, store = table(spark, sf_dir, "documents"), ShardStore(spark, new_path(spark, "shards"))
     for arrival in range(ARRIVALS):
         store.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS)) == arrival))
         store.compact()
-    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
-    found = store.read().select("doc_id", size.alias("n_bytes"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "shard", F.col("rows").alias("shard_rows"), F.col("bytes").alias("shard_bytes"), "version")
+        store.vacuum(retain=1, grace_seconds=0)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found = store.read().select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("text_sha256"), "shard", F.col("rows").alias("shard_rows"), F.col("bytes").alias("shard_bytes"), "version")
     return found.withColumn("shard", F.substring_index("shard", "/data/", -1))

@@ -2,10 +2,13 @@
 
 import itertools
 import math
+import os
 import random
 import re
 import zlib
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -82,25 +85,93 @@ def test_mixed_documents_are_whole(spark, monkeypatch, broadcast):
         assert abs(words[source] - target) <= 0.03 * target
 
 
+def brute_runs(shards, target, fan):
+    """The runs that are merged, of (name, bytes)."""
+    tiers = {}
+    for name, n in sorted(shards):
+        if n < target / 2:
+            tiers.setdefault(math.floor(math.log(max(n, sharding.BASE_BYTES) / sharding.BASE_BYTES, fan)), []).append((name, n))
+    out = []
+    for rows in tiers.values():
+        runs, at = {}, 0
+        for name, n in rows:
+            runs.setdefault(at // target, []).append((name, n))
+            at += n
+        out += [sorted(x for x, _ in r) for r in runs.values() if len(r) >= fan or sum(n for _, n in r) >= target]
+    return sorted(out)
+
+
 def test_shards(spark, tmp_path):
     store = sharding.ShardStore(spark, f"file://{tmp_path}/store", target_bytes=40_000, fan=3)
-    docs = documents(spark, [(i, "x" * (i % 97)) for i in range(3000)])
-    for part in range(6):
-        store.append(docs.where(F.col("doc_id") % 6 == part).coalesce(2))
+    rng = random.Random(0)
+    docs = clashing(documents(spark, [(i, None if i % 50 == 0 else "".join(rng.choices("abcdefgh é", k=i % 97 if i % 500 else 20_000))) for i in range(1200)] + [(None, "nameless"), (7, "again")]))
+    for part in range(4):
+        version = store.append(docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(4)) == part).coalesce(2))
+        plan, shards = store.plan().collect(), store.manifest().collect()
+        runs = {}
+        for r in plan:
+            runs.setdefault(r["merged"], []).append(r["shard"])
+        assert sorted(sorted(r) for r in runs.values()) == brute_runs([(r["shard"], r["bytes"]) for r in shards], 40_000, 3)
+        assert sorted(runs) == list(range(len(runs)))
         store.compact()
     found = store.read()
-    assert rows(found, "doc_id", "text", "n_chars") == rows(docs, "doc_id", "text", "n_chars")
+    assert rows(found, *docs.columns) == rows(docs, *docs.columns)
     shards = store.manifest().collect()
-    held = {r["shard"]: (r["count"], r["n"]) for r in found.groupBy("shard").agg(F.count("*").alias("count"), F.sum(F.octet_length("text")).alias("n")).collect()}
-    assert held == {r["shard"]: (r["rows"], r["bytes"]) for r in shards}
-    assert len(shards) < 12 and max(r["bytes"] for r in shards) <= 2 * 40_000
-    assert store.manifest(1).count() == 2  # an old version stays readable as a table
-    with pytest.raises(RuntimeError, match="already"):
-        store.commit(store.manifest(), store.versions()[-1])
-    assert not [v for v in (tmp_path / "store/manifest").iterdir() if v.name.startswith("_") and v.is_dir()]
+    held = {r["shard"]: r["count"] for r in found.groupBy("shard").agg(F.count("*").alias("count")).collect()}
+    assert held == {r["shard"]: r["rows"] for r in shards}
+    assert all(os.path.getsize(urlparse(r["shard"]).path) == r["bytes"] for r in shards)
+    assert not brute_runs([(r["shard"], r["bytes"]) for r in shards], 40_000, 3)
+    assert store.manifest(1).count() == 2 and store.read(1).count() == store.manifest(1).agg(F.sum("rows")).first()[0]  # after merges
     with pytest.raises(ValueError, match="columns"):
         store.append(docs.withColumn("Shard", F.lit(1)))
-    store.append(docs.limit(0))
+    with pytest.raises(ValueError, match="type"):
+        store.append(docs.withColumn("lang", F.lit(1)))
+    store.vacuum(retain=2, grace_seconds=0)
+    assert rows(store.read(), "doc_id", "text") == rows(docs, "doc_id", "text") and store.read(version).count() > 0
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    sharding.ShardStore(spark, root).append(documents(spark, [(0, "first")]))
+
+    def write(k):
+        store = sharding.ShardStore(spark, root, fan=2)
+        for i in range(3):
+            store.append(documents(spark, [(100 * k + i, "x")]))
+            store.compact()
+            store.vacuum()
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, (1, 2, 3)))
+    store = sharding.ShardStore(spark, root)
+    assert sorted(r["doc_id"] for r in store.read().collect()) == [0, *(100 * k + i for k in (1, 2, 3) for i in range(3))]
+    assert store.versions() == list(range(1, store.versions()[-1] + 1))
+    assert not store._publish(store.versions()[-1], "{}")
+
+
+def test_an_uncommitted_arrival_outlives_compaction(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    store, docs = sharding.ShardStore(spark, root, fan=2), documents(spark, [(i, "x") for i in range(5)])
+    docs.write.parquet(f"{root}/data/pending")
+    for _ in range(3):
+        store.append(docs)
+    store.compact()
+    store.vacuum()
+    assert store.commit(lambda live, version: live.union(store._listed("pending", version))) and store.read().count() == 20
+
+
+def test_an_empty_store(spark, tmp_path, small):
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/store")
+    empty = documents(spark, [])
+    store.append(empty)
+    store.compact()
+    assert store.read().isEmpty() and set(empty.columns) <= set(store.read().columns)
+    empty.write.parquet(f"{tmp_path}/t/documents.parquet")
+    assert sharding.op5_sharding(spark, f"{tmp_path}/t").isEmpty()
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    got = sharding.op5_sharding(spark, small)
+    want = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    assert rows(got, "doc_id", "text_sha256") == rows(want, "doc_id", "text_sha256")
 
 
 def brute_cosines(vectors, weight, query):
