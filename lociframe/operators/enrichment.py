@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tails import binomial_tails, hypergeometric_tails
@@ -39,6 +39,13 @@ def enrichment(membership: DataFrame, listed: DataFrame, test: str) -> DataFrame
     return out.select("cat", "k", (F.col("k") / F.col("big_k")).alias("representation"), F.col("p.low").alias("p_low"), F.col("p.high").alias("p_high"))
 
 
+def enrichment_report(rows: DataFrame) -> DataFrame:
+    """Count, representation, rank and both probabilities of each category, from the most represented on; ties by count, probabilities and name."""
+    order = [F.desc(c) for c in ("representation", "k", "p_low", "p_high", "cat")]
+    ranked = rows.withColumn("rank", F.rank().over(Window.orderBy(F.desc("representation"))))  # a row per category
+    return ranked.select(F.col("k").alias("count"), "representation", "rank", "p_low", "p_high", "cat").orderBy(*order)
+
+
 def cooccurrence(membership: DataFrame) -> DataFrame:
     """Genes that two categories share; pairs are formed within a gene's array, whose length the categories bound."""
     held = membership.groupBy("gene").agg(F.array_sort(F.collect_set("cat")).alias("c"))

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shuffles import permutations
+
 from .sites import SITE
 
 
@@ -86,15 +88,24 @@ def overall_fst(calls: DataFrame, pop1: Iterable[int], pop2: Iterable[int], sour
     return parts.agg(F.count("*").alias("sites"), reich.alias("mean_reich"), (F.sum("top") / F.sum("bottom")).alias("ratio_reich"), F.avg("w").alias("mean_wright"), F.avg("wc").alias("mean_weir_cockerham"))
 
 
-def shuffled_fst(calls: DataFrame, everyone: int, size1: int, size2: int, shuffles: int, step: int = 3) -> DataFrame:
-    """Mean Wright index for populations drawn by the arithmetic permutations ``(ind * step + s) % everyone``.
+def shuffled_fst(calls: DataFrame, everyone: int, size1: int, size2: int, shuffles: int, seed: int = 1) -> DataFrame:
+    """Mean Wright index of populations that random permutations of the individuals draw, with the members of either.
 
-    All shuffles come from one pass: a site's calls meet the table of shuffles, whose size is a parameter, as an array.
+    All shuffles come from one pass: the calls meet the table of shuffles, whose size is a parameter.
     """
-    place = lambda s: (F.col("ind") * step + s) % everyone
+    drawn = permutations(calls.sparkSession, everyone, shuffles, seed).where(F.col("place") < size1 + size2)
+    drawn = drawn.select("shuffle", F.col("item").alias("ind"), (F.col("place") < size1).alias("first"))
+    rows = calls.select(*SITE, "ind", "a", "b").join(F.broadcast(drawn), "ind")
     value, total = F.col("a"), F.col("a") + F.col("b")
-    rows = calls.select(*SITE, "ind", "a", "b", F.explode(F.sequence(F.lit(0), F.lit(shuffles - 1))).alias("shuffle"))
-    in1, in2 = place(F.col("shuffle")) < size1, (place(F.col("shuffle")) >= size1) & (place(F.col("shuffle")) < size1 + size2)
-    sums = [F.sum(F.when(w, v).otherwise(0)).alias(n) for w, i in ((in1, 1), (in2, 2)) for v, n in ((value, f"a{i}"), (total, f"n{i}"))]
+    sums = [F.sum(F.when(w, v).otherwise(0)).alias(n) for w, i in ((F.col("first"), 1), (~F.col("first"), 2)) for v, n in ((value, f"a{i}"), (total, f"n{i}"))]
     rows = with_frequencies(rows.groupBy("shuffle", *SITE).agg(*sums)).where(not_fixed())
-    return rows.groupBy("shuffle").agg(F.avg(wright()).alias("mean_fst"), F.count("*").alias("sites"))
+    found = rows.groupBy("shuffle").agg(F.avg(wright()).alias("mean_fst"), F.count("*").alias("sites"))
+    names = lambda w: F.array_join(F.array_sort(F.collect_list(F.when(w, F.col("ind")))).cast("array<string>"), ",")
+    members = drawn.groupBy("shuffle").agg(names(F.col("first")).alias("members1"), names(~F.col("first")).alias("members2"))
+    return found.join(F.broadcast(members), "shuffle")
+
+
+def shuffled_fst_summary(shuffled: DataFrame) -> DataFrame:
+    """Largest and mean value over all shuffles, and the populations of the largest (ties: of the first shuffle)."""
+    best = F.max(F.struct("mean_fst", (-F.col("shuffle")).alias("s"), "members1", "members2"))
+    return shuffled.agg(best.alias("b"), F.avg("mean_fst").alias("mean"), F.count("*").alias("shuffles")).select(F.col("b.mean_fst").alias("largest"), "mean", F.col("b.members1").alias("members1"), F.col("b.members2").alias("members2"), "shuffles")

@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.storage import stored
+from .shuffles import permutations
 
 
-def random_assignments(weights: DataFrame, n: int, shuffles: int, step: int = 3) -> DataFrame:
-    """Mean weight of ``shuffles`` arithmetic permutations; mothers are 0 to n - 1 and fathers n to 2n - 1."""
-    rows = weights.select("*", F.explode(F.sequence(F.lit(0), F.lit(shuffles - 1))).alias("shuffle"))
-    mates = rows.where(F.col("father") == n + (F.col("mother") * step + F.col("shuffle")) % n)
-    return mates.groupBy(F.col("shuffle").cast("long").alias("shuffle")).agg(F.avg("weight").alias("mean_weight"))
+def random_assignments(weights: DataFrame, n: int, shuffles: int, seed: int = 1) -> DataFrame:
+    """Mean weight of ``shuffles`` random assignments; mothers are 0 to n - 1 and fathers n to 2n - 1."""
+    mates = permutations(weights.sparkSession, n, shuffles, seed).select("shuffle", F.col("item").alias("mother"), (F.col("place") + n).cast("long").alias("father"))
+    return weights.join(F.broadcast(mates), ["mother", "father"]).groupBy("shuffle").agg(F.avg("weight").alias("mean_weight"))
+
+
+def assignment_report(pairs: DataFrame, random: DataFrame) -> DataFrame:
+    """Lines of text: a line per pair of the best assignment, then its mean and that of random ones."""
+    lines = pairs.orderBy("mother").select(F.col("mother").alias("place"), F.format_string("%s %s %.6f", F.col("mother").cast("string"), F.col("father").cast("string"), F.col("weight")).alias("value"))
+    best = pairs.agg(F.lit(1 << 40).alias("place"), F.format_string("mean of best pairs: %.6f", F.avg("weight")).alias("value"))
+    mean = random.agg(F.lit((1 << 40) + 1).alias("place"), F.format_string("mean of random pairs: %.6f", F.avg("mean_weight")).alias("value"))
+    return lines.union(best).union(mean).orderBy("place").select("value")
 
 
 def optimal_assignment(weights: DataFrame, digits: int = 6) -> DataFrame:

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shuffles import mark
+
 
 def uniform_sample(sites: DataFrame, genome_length: int, wanted: int) -> DataFrame:
     """(site, chrom, pos): about ``wanted`` sites at even spacing.
@@ -92,12 +94,11 @@ def max_runs(runs: DataFrame, shift: int) -> DataFrame:
     return rows.groupBy("chrom", "stretch").applyInPandas(scan, "chrom long, start long, end long, score long")
 
 
-def shuffled_threshold(runs: DataFrame, shift: int, shuffles: int, prime: int = 7919) -> DataFrame:
-    """Largest run over ``shuffles`` arithmetic permutations of the order; runs above it are significant."""
+def shuffled_threshold(runs: DataFrame, shift: int, shuffles: int, seed: int = 1) -> DataFrame:
+    """Largest run over ``shuffles`` random permutations of each chromosome's scores; runs above it are significant."""
     rows = runs.select("chrom", "pos", "score", F.explode(F.sequence(F.lit(1), F.lit(shuffles))).alias("shuffle"))
-    mixed = rows.select("shuffle", "chrom", ((F.col("pos") * prime * F.col("shuffle")) % 1_000_003).alias("pos"), "score", F.col("pos").alias("tie"))
-    along = Window.partitionBy("shuffle", "chrom").orderBy("pos", "tie")
-    sums = mixed.withColumn("x", F.col("score") - shift).withColumn("upto", F.sum("x").over(along))
+    along = Window.partitionBy("shuffle", "chrom").orderBy("mark", "pos")
+    sums = rows.withColumn("mark", mark(seed, "shuffle", "chrom", "pos")).withColumn("x", F.col("score") - shift).withColumn("upto", F.sum("x").over(along))
     sums = sums.withColumn("total", F.col("upto") - F.min(F.col("upto") - F.col("x")).over(along))
     return sums.groupBy("shuffle").agg(F.greatest(F.lit(0), F.max("total")).alias("largest"))
 
@@ -107,56 +108,6 @@ def significant_runs(runs: DataFrame, shift: int, shuffles: int) -> DataFrame:
     return max_runs(runs, shift).join(F.broadcast(bound), F.col("score") > F.col("bound")).drop("bound")  # bound: one row
 
 
-def admixture_states(calls: DataFrame, admixed: Iterable[int], pop1: Iterable[int], pop2: Iterable[int]) -> DataFrame:
-    """Log-likelihood of each admixed genotype under the three ancestries (2, 1 or 0 copies from population 1).
-
-    Allele frequencies come from genotypes with one pseudo-copy of either allele.
-    """
-    defined = F.col("g") >= 0
-    freq = lambda p: (F.sum(F.when(F.col("ind").isin(list(p)) & defined, F.col("g")).otherwise(0)) + 1) / (F.sum(F.when(F.col("ind").isin(list(p)) & defined, 2).otherwise(0)) + 2)
-    held = calls.groupBy("site", "chrom", "pos").agg(freq(pop1).alias("f1"), freq(pop2).alias("f2"), F.collect_list(F.when(F.col("ind").isin(list(admixed)) & defined, F.struct("ind", "g"))).alias("v"))
-    rows = held.select("chrom", "pos", "f1", "f2", F.inline("v"))
-    both = lambda s, t: F.when(F.col("g") == 2, s * t).when(F.col("g") == 0, (1 - s) * (1 - t)).otherwise(s * (1 - t) + t * (1 - s))
-    f1, f2 = F.col("f1"), F.col("f2")
-    return rows.select("chrom", "pos", "ind", F.log(both(f1, f1)).alias("s1"), F.log(both(f1, f2)).alias("s2"), F.log(both(f2, f2)).alias("s3"))
-
-
-def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
-    """States (0, 1, ...) with the largest sum of scores less ``penalty`` per change; ties keep the state, then the lower one."""
-    n, k = scores.shape
-    back, best = np.zeros((n, k), "int64"), scores[0].copy()
-    for i in range(1, n):
-        top = int(best.argmax())
-        move = best[top] - penalty
-        back[i] = np.where(best >= move, np.arange(k), top)
-        best = np.maximum(best, move) + scores[i]
-    state = np.zeros(n, "int64")
-    state[-1] = best.argmax()
-    for i in range(n - 1, 0, -1):
-        state[i - 1] = back[i, state[i]]
-    return state
-
-
-def admixture_path(states: DataFrame, penalty: float) -> DataFrame:
-    """Intervals of constant ancestry of each individual and chromosome; state 1 is both copies from population 1, 3 from 2."""
-
-    def walk(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values("pos")
-        state, pos = best_path(t[["s1", "s2", "s3"]].to_numpy(), penalty), t["pos"].to_numpy()
-        first = np.flatnonzero(np.r_[True, state[1:] != state[:-1]])
-        last = np.r_[first[1:], len(state)] - 1
-        return pd.DataFrame({"chrom": key[0], "ind": key[1], "start": pos[first], "end": pos[last] + 1, "state": state[first] + 1})
-
-    return states.groupBy("chrom", "ind").applyInPandas(walk, "chrom long, ind long, start long, end long, state long")
-
-
-def state_shares(path: DataFrame) -> DataFrame:
-    """Percent of the covered genome in each state, per individual."""
-    sums = path.groupBy("ind", "state").agg(F.sum(F.col("end") - F.col("start")).alias("length"))
-    whole = F.sum("length").over(Window.partitionBy("ind"))
-    return sums.select("ind", "state", (100 * F.col("length") / whole).alias("percent"))
-
-
 def ranked(rows: DataFrame, value: Column, method: str = "dense") -> DataFrame:
     by = Window.orderBy(value.desc())
     return rows.withColumn("rank", (F.dense_rank() if method == "dense" else F.rank()).over(by))

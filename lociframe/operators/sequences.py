@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.nucleotides import consensus
+
 BIN = 4096
 
 
@@ -73,3 +75,22 @@ def allele_order(cells: DataFrame) -> DataFrame:
     order = Window.partitionBy("site").orderBy(F.desc("n"), "base")
     rows = counts.withColumn("r", F.row_number().over(order))
     return rows.groupBy("site").agg(F.max(F.when(F.col("r") == 1, F.col("base"))).alias("ancestral"), F.coalesce(F.max(F.when(F.col("r") == 2, F.col("base"))), F.lit("N")).alias("derived"), F.max("r").cast("long").alias("alleles"))
+
+
+def allele_codes(cells: DataFrame) -> DataFrame:
+    """(site, ind, base), a nucleotide or a code of two -> ancestral and derived base, and each individual's copies of the first.
+
+    The more frequent of the two is ancestral (ties to the earlier letter); N is undefined, as -1. With one letter and a code of two,
+    the code is the derived one. Raises at a site with more than three letters, or whose three are not two bases and their code.
+    """
+    counts = cells.where("base <> 'N'").groupBy("site", "base").agg(F.count("*").alias("n"))
+    letters = counts.groupBy("site").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "base"))).alias("v"), F.count("*").alias("k"))
+    plain = F.filter("v.base", lambda x: x.isin("A", "C", "G", "T"))
+    mixed = F.filter("v.base", lambda x: ~x.isin("A", "C", "G", "T"))
+    three = (F.size("plain") == 2) & (F.size("mixed") == 1) & (consensus(F.get("plain", F.lit(0)), F.get("plain", F.lit(1))) == F.get("mixed", F.lit(0)))
+    bad = (F.col("k") > 3) | (F.col("k") == 3) & ~F.coalesce(three, F.lit(False)) | (F.col("k") == 2) & (F.size("mixed") > 1)
+    named = letters.withColumn("plain", plain).withColumn("mixed", mixed).withColumn("order", F.concat("plain", "mixed"))
+    wrong = F.raise_error(F.concat(F.lit("not two alleles at site "), F.col("site").cast("string"))).cast("string")
+    alleles = named.select("site", F.when(bad, wrong).otherwise(F.get("order", F.lit(0))).alias("ancestral"), F.coalesce(F.get("order", F.lit(1)), F.lit("N")).alias("derived"))
+    code = F.when(F.col("base") == "N", -1).when(F.col("base") == F.col("ancestral"), 2).when(F.col("base") == F.col("derived"), 0).otherwise(1)
+    return cells.join(alleles, "site", "left").select("site", "ind", F.coalesce("ancestral", F.lit("N")).alias("ancestral"), F.coalesce("derived", F.lit("N")).alias("derived"), code.cast("long").alias("g"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nucleotides import genotype_base, genotype_from_vcf, reverse_complement
 from ..operators import enrichment as enrich
-from ..operators import ordered, pairs, sequences
+from ..operators import admixture, ordered, pairs, sequences
 from .catalog import query
 from .site_queries import COVARIANCE, WITH, base, rounded
 from .views import ADMIXED, CALLS, LISTED, MEMBERSHIP, POP1, POP2, RUNS, SPANS, calls, listed_genes, load, membership, runs, spans
@@ -59,33 +59,92 @@ def max_runs(spark: SparkSession, d: str) -> DataFrame:
     return ordered.max_runs(runs(spark, d), shift_of(spark, d))
 
 
-@query(f"""WITH {SHIFT}, m AS (SELECT k AS shuffle, chrom, (pos * 7919 * k) % 1000003 AS p, pos AS tie, score - shift AS x FROM runs, shift, (SELECT unnest(range(1, 11)) AS k)),
-    u AS (SELECT *, sum(x) OVER (PARTITION BY shuffle, chrom ORDER BY p, tie) AS upto FROM m),
-    t AS (SELECT shuffle, upto - min(upto - x) OVER (PARTITION BY shuffle, chrom ORDER BY p, tie) AS total FROM u)
+@query(f"""WITH {SHIFT}, m AS (SELECT k AS shuffle, chrom, pos, md5('1:' || k || ':' || chrom || ':' || pos) AS mark, score - shift AS x FROM runs, shift, (SELECT unnest(range(1, 11)) AS k)),
+    u AS (SELECT *, sum(x) OVER (PARTITION BY shuffle, chrom ORDER BY mark, pos) AS upto FROM m),
+    t AS (SELECT shuffle, upto - min(upto - x) OVER (PARTITION BY shuffle, chrom ORDER BY mark, pos) AS total FROM u)
     SELECT CAST(shuffle AS BIGINT) AS shuffle, CAST(greatest(0, max(total)) AS BIGINT) AS largest FROM t GROUP BY 1""")
 def max_runs_shuffle(spark: SparkSession, d: str) -> DataFrame:
     found = ordered.shuffled_threshold(runs(spark, d), shift_of(spark, d), 10)
     return found.select(F.col("shuffle").cast("long").alias("shuffle"), F.col("largest").cast("long").alias("largest"))
 
 
-@query()
+FREQ = """f AS (SELECT site, (sum(CASE WHEN ind IN (0,1) AND g >= 0 THEN g ELSE 0 END) + 1) / (sum(CASE WHEN ind IN (0,1) AND g >= 0 THEN 2 ELSE 0 END) + 2)::DOUBLE AS f1,
+    (sum(CASE WHEN ind IN (2,3) AND g >= 0 THEN g ELSE 0 END) + 1) / (sum(CASE WHEN ind IN (2,3) AND g >= 0 THEN 2 ELSE 0 END) + 2)::DOUBLE AS f2,
+    (sum(CASE WHEN ind IN (6,7) AND g >= 0 THEN g ELSE 0 END) + 1) / (sum(CASE WHEN ind IN (6,7) AND g >= 0 THEN 2 ELSE 0 END) + 2)::DOUBLE AS f3, 0.75::DOUBLE AS f4 FROM calls GROUP BY 1)"""
+
+
+def state_sql(pairs: list[tuple[int, int]], logs: bool = True) -> str:
+    both = lambda s, t: f"CASE g WHEN 2 THEN {s} * {t} WHEN 0 THEN (1 - {s}) * (1 - {t}) ELSE {s} * (1 - {t}) + {t} * (1 - {s}) END"
+    cells = ", ".join(f"round({'ln' if logs else ''}({both(f'f{i}', f'f{j}')}), 6) AS s{n}" for n, (i, j) in enumerate(pairs, 1))
+    return f"SELECT chrom, pos, ind, {cells} FROM calls JOIN f USING (site) WHERE ind IN (4,5) AND g >= 0"
+
+
+TWO, THREE = [(1, 1), (2, 2), (1, 2)], [(1, 1), (2, 2), (3, 3), (1, 2), (1, 3), (2, 3)]
+ADMIX = f"{WITH}, {FREQ}"
+
+
+def path_sql(k: int, penalty: float, dark: str) -> str:
+    """The best path as two recursions: forward to the best sums, and back along the choices."""
+    each = range(1, k + 1)
+    best, kept = ", ".join(f"b{i}" for i in each), ", ".join(f"k{i}" for i in each)
+    top = f"greatest({best})"
+    first = "CASE " + " ".join(f"WHEN b{i} = {top} THEN {i}" for i in each) + " END"
+    return f"""o AS (SELECT *, row_number() OVER (PARTITION BY chrom, ind ORDER BY pos) AS i FROM states WHERE NOT {dark}),
+    fwd AS (SELECT chrom, ind, i, pos, {", ".join(f"s{i} AS b{i}" for i in each)}, {", ".join(f"{i} AS k{i}" for i in each)} FROM o WHERE i = 1 UNION ALL
+        SELECT o.chrom, o.ind, o.i, o.pos, {", ".join(f"greatest(b{i}, {top} - {penalty}) + s{i}" for i in each)}, {", ".join(f"CASE WHEN b{i} >= {top} - {penalty} THEN {i} ELSE {first} END" for i in each)}
+        FROM fwd JOIN o ON o.chrom = fwd.chrom AND o.ind = fwd.ind AND o.i = fwd.i + 1),
+    bwd AS (SELECT chrom, ind, i, pos, {first} AS state FROM fwd WHERE i = (SELECT max(z.i) FROM o z WHERE z.chrom = fwd.chrom AND z.ind = fwd.ind) UNION ALL
+        SELECT p.chrom, p.ind, p.i, p.pos, CASE bwd.state {" ".join(f"WHEN {i} THEN n.k{i}" for i in each)} END FROM bwd JOIN fwd n ON n.chrom = bwd.chrom AND n.ind = bwd.ind AND n.i = bwd.i JOIN fwd p ON p.chrom = bwd.chrom AND p.ind = bwd.ind AND p.i = bwd.i - 1),
+    told AS (SELECT chrom, ind, pos, state FROM bwd UNION ALL SELECT chrom, ind, pos, 0 FROM states WHERE {dark}),
+    turned AS (SELECT *, CASE WHEN state = lag(state) OVER (PARTITION BY chrom, ind ORDER BY pos) THEN 0 ELSE 1 END AS turn FROM told),
+    stretch AS (SELECT *, sum(turn) OVER (PARTITION BY chrom, ind ORDER BY pos) AS n FROM turned),
+    path AS (SELECT chrom, ind, min(pos) AS start, max(pos) + 1 AS "end", CAST(any_value(state) AS BIGINT) AS state FROM stretch GROUP BY chrom, ind, n)"""
+
+
+RECURSIVE = ADMIX.replace("WITH", "WITH RECURSIVE", 1)
+PATH = f"{RECURSIVE}, states AS ({state_sql(TWO)}), {path_sql(3, 2.0, 'false')}"
+DARK = "(pos // 1000) % 50 = 7"
+
+
+@query(f"{PATH} SELECT * FROM path")
 def admix_path(spark: SparkSession, d: str) -> DataFrame:
-    return ordered.admixture_path(ordered.admixture_states(calls(spark, d), ADMIXED, POP1, POP2), 2.0)
+    return admixture.admixture_path(admix_states(spark, d), 2.0)
 
 
-@query()
+@query(f"{PATH} SELECT ind, state, round(100 * sum(\"end\" - start) / sum(sum(\"end\" - start)) OVER (PARTITION BY ind)::DOUBLE, 6) AS percent FROM path GROUP BY 1, 2")
 def admix_summary(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(ordered.state_shares(admix_path(spark, d)), "percent")
+    return rounded(admixture.state_shares(admix_path(spark, d)), "percent")
 
 
+@query(f"""{PATH}, l AS (SELECT p_partkey % 10 AS chrom, max(p_partkey) * 100 + 5000 AS length FROM part GROUP BY 1)
+    SELECT chrom, ind, start, CASE WHEN start = max(start) OVER (PARTITION BY chrom, ind) THEN greatest("end", length) ELSE "end" END AS "end", state FROM path LEFT JOIN l USING (chrom)""")
+def admix_path_extended(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey")
+    lengths = load(spark, d, "part").groupBy((k % 10).alias("chrom")).agg((F.max(k) * 100 + 5000).alias("length"))
+    return admixture.extended(admix_path(spark, d), lengths)
 
-@query(f"""{WITH}, f AS (SELECT site, (sum(CASE WHEN ind IN (0,1) AND g >= 0 THEN g ELSE 0 END) + 1) / (sum(CASE WHEN ind IN (0,1) AND g >= 0 THEN 2 ELSE 0 END) + 2)::DOUBLE AS f1,
-    (sum(CASE WHEN ind IN (2,3) AND g >= 0 THEN g ELSE 0 END) + 1) / (sum(CASE WHEN ind IN (2,3) AND g >= 0 THEN 2 ELSE 0 END) + 2)::DOUBLE AS f2 FROM calls GROUP BY 1)
-    SELECT chrom, pos, ind, round(ln(CASE g WHEN 2 THEN f1 * f1 WHEN 0 THEN (1 - f1) * (1 - f1) ELSE 2 * f1 * (1 - f1) END), 6) AS s1,
-    round(ln(CASE g WHEN 2 THEN f1 * f2 WHEN 0 THEN (1 - f1) * (1 - f2) ELSE f1 * (1 - f2) + f2 * (1 - f1) END), 6) AS s2,
-    round(ln(CASE g WHEN 2 THEN f2 * f2 WHEN 0 THEN (1 - f2) * (1 - f2) ELSE 2 * f2 * (1 - f2) END), 6) AS s3 FROM calls JOIN f USING (site) WHERE ind IN (4,5) AND g >= 0""")
+
+@query(f"{ADMIX} {state_sql(TWO)}")
 def admix_states(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(ordered.admixture_states(calls(spark, d), ADMIXED, POP1, POP2), "s1", "s2", "s3")
+    return rounded(admixture.admixture_states(calls(spark, d), ADMIXED, POP1, POP2), "s1", "s2", "s3")
+
+
+@query(f"{ADMIX} {state_sql(THREE)}")
+def admix_states_three(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(admixture.admixture_states(calls(spark, d), ADMIXED, POP1, POP2, (6, 7)), *[f"s{i}" for i in range(1, 7)])
+
+
+@query(f"{ADMIX} {state_sql([(1, 1), (4, 4), (1, 4)], logs=False)}")
+def admix_states_reference(spark: SparkSession, d: str) -> DataFrame:
+    """The reference as the second source, and plain probabilities."""
+    return rounded(admixture.admixture_states(calls(spark, d), ADMIXED, POP1, None, add_logs=False), "s1", "s2", "s3")
+
+
+@query(f"{RECURSIVE}, states AS ({state_sql(THREE)}), {path_sql(6, 1.5, DARK)} SELECT * FROM path")
+def admix_path_heterochromatin(spark: SparkSession, d: str) -> DataFrame:
+    """Three sources; every 50th stretch of 1,000 positions is heterochromatin."""
+    dark = calls(spark, d).select("chrom", F.floor(F.col("pos") / 1000).alias("k")).distinct().where("k % 50 = 7").select("chrom", (F.col("k") * 1000).alias("start"), (F.col("k") * 1000 + 999).alias("end"))
+    return admixture.admixture_path(admix_states_three(spark, d), 1.5, dark)
 
 
 COUNTS = f"""{MEMBERSHIP}, {LISTED}, size AS (SELECT count(DISTINCT m.gene) AS big_n, count(DISTINCT l.gene) AS n FROM membership m LEFT JOIN listed l ON m.gene = l.gene),

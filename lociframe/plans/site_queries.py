@@ -28,6 +28,9 @@ NC = "((n1 + n2) - (n1 * n1 + n2 * n2) / (n1 + n2))"
 WC = f"(({MSP} - {MSG}) / nullif({MSP} + ({NC} - 1) * {MSG}, 0))"
 
 
+B_BASE = "substr('ACGT', CAST(site % 4 + 1 AS INT), 1)"
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -57,13 +60,25 @@ def fst_overall(spark: SparkSession, d: str) -> DataFrame:
     return rounded(fst_ops.overall_fst(calls(spark, d), POP1, POP2), "mean_reich", "ratio_reich", "mean_wright", "mean_weir_cockerham")
 
 
-@query(f"""{WITH}, shuffled AS (SELECT s AS shuffle, site, (ind * 3 + s) % 8 AS place, a, b FROM calls, (SELECT unnest(range(8)) AS s)),
+SHUFFLED = f"""{WITH}, perm AS (SELECT s AS shuffle, i AS ind, row_number() OVER (PARTITION BY s ORDER BY md5('1:' || s || ':' || i), i) - 1 AS place FROM (SELECT unnest(range(8)) AS s), (SELECT unnest(range(8)) AS i)),
+    shuffled AS (SELECT shuffle, site, place, a, b FROM calls JOIN perm USING (ind)),
     sums AS (SELECT shuffle, site, CAST(sum(CASE WHEN place < 2 THEN a ELSE 0 END) AS DOUBLE) AS a1, CAST(sum(CASE WHEN place < 2 THEN a + b ELSE 0 END) AS DOUBLE) AS n1,
     CAST(sum(CASE WHEN place IN (2,3) THEN a ELSE 0 END) AS DOUBLE) AS a2, CAST(sum(CASE WHEN place IN (2,3) THEN a + b ELSE 0 END) AS DOUBLE) AS n2 FROM shuffled GROUP BY 1, 2),
-    freq AS (SELECT *, a1 / n1 AS p1, a2 / n2 AS p2 FROM sums WHERE n1 > 0 AND n2 > 0)
-    SELECT CAST(shuffle AS BIGINT) AS shuffle, round(avg({WRIGHT}), 6) AS mean_fst, CAST(count(*) AS BIGINT) AS sites FROM freq WHERE {UNFIXED} GROUP BY 1""")
+    freq AS (SELECT *, a1 / n1 AS p1, a2 / n2 AS p2 FROM sums WHERE n1 > 0 AND n2 > 0),
+    members AS (SELECT shuffle, string_agg(ind::VARCHAR, ',' ORDER BY ind) FILTER (place < 2) AS members1, string_agg(ind::VARCHAR, ',' ORDER BY ind) FILTER (place IN (2, 3)) AS members2 FROM perm GROUP BY 1),
+    found AS (SELECT CAST(shuffle AS BIGINT) AS shuffle, round(avg({WRIGHT}), 6) AS mean_fst, CAST(count(*) AS BIGINT) AS sites FROM freq WHERE {UNFIXED} GROUP BY 1),
+    named AS (SELECT f.*, members1, members2 FROM found f JOIN members m ON m.shuffle = f.shuffle)"""
+
+
+@query(f"{SHUFFLED} SELECT * FROM named")
 def fst_shuffle(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(fst_ops.shuffled_fst(calls(spark, d), 8, 2, 2, 8), "mean_fst").withColumn("shuffle", F.col("shuffle").cast("long"))
+    return rounded(fst_ops.shuffled_fst(calls(spark, d), 8, 2, 2, 8), "mean_fst")
+
+
+@query(f"""{SHUFFLED} SELECT mean_fst AS largest, (SELECT round(avg(mean_fst), 6) FROM named) AS mean, members1, members2, (SELECT CAST(count(*) AS BIGINT) FROM named) AS shuffles
+    FROM named ORDER BY mean_fst DESC, shuffle LIMIT 1""")
+def fst_shuffle_summary(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(fst_ops.shuffled_fst_summary(fst_shuffle(spark, d)), "mean")
 
 
 @query(f"{WITH}, {SUMS} SELECT site, chrom, pos, CASE WHEN n1 >= 40 AND n2 >= 40 AND q1 >= 20 AND q2 >= 20 THEN round({WRIGHT}, 6) ELSE -1.0 END::DOUBLE AS fst FROM freq")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.nucleotides import genotype_from_digits, genotype_from_vcf, ped_genotype
+from ..operators.sequences import allele_codes
 from .metadata import Metadata, read_header
 
 
@@ -56,7 +57,7 @@ def checked_table(spark: SparkSession, path: str, columns: int, integers: list[i
     bad = F.size("cell") < columns
     for c in integers:
         bad = bad | F.get("cell", F.lit(c - 1)).try_cast("long").isNull()
-    wrong = F.raise_error(F.concat(F.lit("bad row: "), F.array_join("cell", "\t")))
+    wrong = F.raise_error(F.concat(F.lit("line "), (F.col("line") + 1).cast("string"), F.lit(": bad row: "), F.array_join("cell", "\t")))
     return rows.select("line", F.when(F.coalesce(bad, F.lit(True)), wrong.cast("array<string>")).otherwise(F.col("cell")).alias("cell"))
 
 
@@ -99,6 +100,40 @@ def csv_genotypes(spark: SparkSession, path: str) -> DataFrame:
     return found.withColumn("g", F.when(F.col("cell").rlike("^[0-9]+$"), genotype_from_digits(F.col("cell"))))
 
 
+def csv_allele_codes(spark: SparkSession, path: str) -> DataFrame:
+    """(chrom, pos, ind, g) of either kind of table: digits as they are, nucleotides as copies of the ancestral base."""
+    rows = csv_genotypes(spark, path)
+    letters = rows.where("g IS NULL").select(F.concat_ws(" ", "chrom", "pos").alias("site"), "ind", F.upper("cell").alias("base"))
+    coded = allele_codes(letters).select(F.substring_index("site", " ", 1).alias("chrom"), F.substring_index("site", " ", -1).cast("long").alias("pos"), "ind", "g")
+    return rows.where("g IS NOT NULL").select("chrom", "pos", "ind", F.col("g").cast("long").alias("g")).union(coded)
+
+
+def map_sites(spark: SparkSession, path: str) -> DataFrame:
+    """(line, chrom, snp, pos) of lines of chromosome, name, genetic distance and position."""
+    words = F.split(F.trim("value"), r"\s+")
+    return text_lines(spark, path).where(F.trim("value") != "").select("line", words[0].alias("chrom"), words[1].alias("snp"), words[3].cast("long").alias("pos"))
+
+
+def founder_kinship(spark: SparkSession, path: str) -> DataFrame:
+    """(id1, id2, kinship) of lines of two names and a number."""
+    words = F.split(F.trim("value"), r"\s+")
+    return text_lines(spark, path).where(F.trim("value") != "").select(words[0].alias("id1"), words[1].alias("id2"), words[2].cast("double").alias("kinship"))
+
+
+def option_list(spark: SparkSession, path: str) -> DataFrame:
+    """(line, name, value) of a list of choices: tab-separated lines without comments; a line of one cell is its own value."""
+    return data_rows(spark, path).select("line", F.col("cell")[0].alias("name"), F.element_at("cell", -1).alias("value"))
+
+
+def checked_primers(spark: SparkSession, path: str) -> DataFrame:
+    """Primers, raising at a record without scaffold or position, and where a site has two records."""
+    rows = primers(spark, path)
+    same = F.count("*").over(Window.partitionBy("chrom", "pos"))
+    wrong = F.raise_error(F.concat(F.lit("bad or repeated primer record: "), F.substring_index("entry", "\n", 1)))
+    bad = F.col("chrom").isNull() | F.col("pos").isNull() | (same > 1)
+    return rows.select("chrom", "pos", "enzymes", F.when(bad, wrong.cast("string")).otherwise(F.col("entry")).alias("entry"))
+
+
 def _located(rows: DataFrame, loci: DataFrame) -> DataFrame:
     """(ind, cells) and (locus number, chrom, pos) -> a row per locus and individual."""
     cells = rows.select("ind", F.posexplode("cells").alias("locus", "cell"))

@@ -6,9 +6,9 @@ import random
 import numpy as np
 import pytest
 
-from lociframe.functions import tails
+from lociframe.functions import tails, text_rules
 from lociframe.functions.nucleotides import consensus, genotype_from_digits, reverse_complement
-from lociframe.operators import fst, graphs, mating, ordered, pairs, sites
+from lociframe.operators import admixture, fst, graphs, mating, ordered, pairs, shuffles, sites
 from pyspark.sql import functions as F
 
 
@@ -59,7 +59,7 @@ def test_best_path_is_best():
         s = rng.normal(size=(7, 3))
         value = lambda path, s=s: sum(s[i, k] for i, k in enumerate(path)) - 0.7 * sum(a != b for a, b in itertools.pairwise(path))
         best = max(value(p) for p in itertools.product(range(3), repeat=7))
-        assert abs(value(ordered.best_path(s, 0.7)) - best) < 1e-9
+        assert abs(value(admixture.best_path(s, 0.7)) - best) < 1e-9
 
 
 def test_tails():
@@ -131,3 +131,56 @@ def test_empty_tables(spark):
     assert pairs.king(calls).isEmpty()
     assert sites.filter_coverage_share(calls, (0,), 0.1, 0.9).isEmpty()
     assert graphs.components(spark.createDataFrame([], "u long, v long")).isEmpty()
+
+
+def test_rules_on_text():
+    assert [text_rules.bound(x) for x in ("7", "0", "15%", "100%")] == [7, 0, -15, -100]
+    for bad in ("x", "-1", "101%", "%"):
+        with pytest.raises(ValueError, match="integer|negative|above"):
+            text_rules.bound(bad)
+    assert text_rules.class_columns("c1, C3", 3) == [0, 2]
+    for bad in ("1", "c0", "c4", "cx"):
+        with pytest.raises(ValueError, match="column"):
+            text_rules.class_columns(bad, 3)
+
+
+def test_tails_have_their_closed_forms():
+    for x in (0.2, 3.0, 40.0):
+        assert abs(tails.chi2_tail(x, 2) - np.exp(-x / 2)) < 1e-12
+        assert abs(tails.f_tail(x, 2, 8) - (1 + x / 4) ** -4) < 1e-12
+    assert tails.f_tail(0, 1, 5) == tails.chi2_tail(0, 3) == 1.0
+
+
+def test_permutations(spark):
+    rows = shuffles.permutations(spark, 6, 40).collect()
+    orders = {}
+    for r in rows:
+        orders.setdefault(r["shuffle"], []).append((r["place"], r["item"]))
+    orders = [tuple(i for _, i in sorted(v)) for v in orders.values()]
+    assert len(orders) == 40 and all(sorted(o) == list(range(6)) for o in orders) and len(set(orders)) > 30
+
+
+def test_eigenvalues_of_the_covariance(spark, small):
+    from lociframe.plans.views import calls
+    from lociframe.registry import QUERIES
+
+    g = {}
+    for r in calls(spark, small).where("g >= 0").collect():
+        g.setdefault(r["site"], {})[r["ind"]] = r["g"]
+    x = []
+    for v in g.values():
+        s = sum(v.values())
+        if len(v) == 8 and min(s, 16 - s) >= 2:
+            p = (1 + s) / 18
+            x.append([(v[i] - s / 8) / np.sqrt(p * (1 - p)) for i in range(8)])
+    values = np.linalg.svd(np.array(x).reshape(-1, 8), compute_uv=False) ** 2 if x else np.zeros(0)
+    values = np.r_[values, np.zeros(8 - len(values))]
+    want = values * 7 / values.sum() if values.sum() else values
+    got = [r["eigenvalue"] for r in QUERIES["pca_eigen"](spark, small).orderBy("component").collect()]
+    assert np.allclose(got, want, atol=2e-6)
+
+
+def test_assignment_report(spark):
+    pairs = spark.createDataFrame([(1, 5, 0.5), (0, 4, 0.25)], "mother long, father long, weight double")
+    random = spark.createDataFrame([(0, 0.2), (1, 0.3)], "shuffle long, mean_weight double")
+    assert [r["value"] for r in mating.assignment_report(pairs, random).collect()] == ["0 4 0.250000", "1 5 0.500000", "mean of best pairs: 0.375000", "mean of random pairs: 0.250000"]

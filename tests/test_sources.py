@@ -54,19 +54,19 @@ def test_long_header_is_read_whole(spark, tmp_path):
 
 
 def test_vcf_round_trip(spark, tmp_path):
-    text = "##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\nc1\t7\t.\tA\tC\t5\t.\t.\tGT:GQ:AD\t1/1:75:0,26\t./.\nc1\t9\t.\tG\tT\t5\t.\t.\tGT\t0|1\t0/0\n"
+    text = "##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\nc1\t7\t.\tA\tC\t5\t.\t.\tGT:GQ:AD\t1/1:44:0,31\t./.\nc1\t9\t.\tG\tT\t5\t.\t.\tGT\t0|1\t0/0\n"
     rows = readers.vcf_genotypes(spark, put(tmp_path / "v.vcf", text)).orderBy("pos", "ind")
-    assert [(r["pos"], r["ind"], r["g"], r["a"], r["b"], r["q"]) for r in rows.collect()] == [(7, "s1", 0, 0, 26, 75), (7, "s2", -1, None, None, None), (9, "s1", 1, None, None, None), (9, "s2", 2, None, None, None)]
+    assert [(r["pos"], r["ind"], r["g"], r["a"], r["b"], r["q"]) for r in rows.collect()] == [(7, "s1", 0, 0, 31, 44), (7, "s2", -1, None, None, None), (9, "s1", 1, None, None, None), (9, "s2", 2, None, None, None)]
     sites = rows.groupBy("chrom", "pos", F.col("ref").alias("a"), F.col("alt").alias("b"), "qual").agg(F.sum(F.when(F.col("g") >= 0, 2).otherwise(0)).alias("na"), F.sum(F.when(F.col("g") >= 0, 2 - F.col("g")).otherwise(0)).alias("ac"))
     lines = [r["value"] for r in writers.vcf_lines(sites, "P").collect()]
     assert lines[0] == "##fileformat=VCFv4.1" and lines[-2].split("\t")[-1] == "2:2" and lines[-1].split("\t")[-1] == "4:1"
 
 
 def test_other_genotype_formats(spark, tmp_path):
-    want = [("Chr21", 382242, "a", 0), ("Chr21", 382242, "b", 0), ("Chr21", 382243, "a", -1), ("Chr21", 382243, "b", 1)]
-    csv = put(tmp_path / "c.csv", ",a,b\nChr21 382242,22,22\nChr21 382243,00,12\n")
-    fstat = put(tmp_path / "f.dat", "2 2 2 1\nChr21 382242\nChr21 382243\n a 22 00\n b 22 12\n")
-    genepop = put(tmp_path / "g.txt", "title\nChr21 382242, Chr21 382243\nPOP\na, 0202 0000\nPop\nb, 0202 0102\n")
+    want = [("s9", 5150, "a", 0), ("s9", 5150, "b", 0), ("s9", 5151, "a", -1), ("s9", 5151, "b", 1)]
+    csv = put(tmp_path / "c.csv", ",a,b\ns9 5150,22,22\ns9 5151,00,12\n")
+    fstat = put(tmp_path / "f.dat", "2 2 2 1\ns9 5150\ns9 5151\n a 22 00\n b 22 12\n")
+    genepop = put(tmp_path / "g.txt", "title\ns9 5150, s9 5151\nPOP\na, 0202 0000\nPop\nb, 0202 0102\n")
     for rows in (readers.csv_genotypes(spark, csv), readers.fstat_genotypes(spark, fstat), readers.genepop_genotypes(spark, genepop)):
         assert [(r["chrom"], r["pos"], r["ind"], r["g"]) for r in rows.orderBy("pos", "ind").collect()] == want
 
@@ -94,3 +94,31 @@ def test_ped_and_matrices(spark, tmp_path):
     assert [r["value"] for r in writers.eigenstrat_lines(calls).collect()] == ["21", "90"]
     cells = spark.createDataFrame([(i, j, float(i != j)) for i in "ab" for j in "ab"], "i string, j string, d double")
     assert [r["value"] for r in writers.matrix_lines(cells, "d").collect()] == ["2", "a          0.0000 1.0000", "b          1.0000 0.0000"]
+
+
+def test_other_readers(spark, tmp_path):
+    csv = put(tmp_path / "c.csv", "x,a,b,c\ns1 5,A,M,C\ns1 6,G,G,N\ns1 7,12,22,00\n")
+    assert [tuple(r)[1:] for r in readers.csv_allele_codes(spark, csv).orderBy("pos", "ind").collect()] == [(5, "a", 2), (5, "b", 1), (5, "c", 0), (6, "a", 2), (6, "b", 2), (6, "c", -1), (7, "a", 1), (7, "b", 0), (7, "c", -1)]
+    with pytest.raises(Exception, match="not two alleles"):
+        readers.csv_allele_codes(spark, put(tmp_path / "d.csv", "x,a,b,c\ns1 5,A,G,C\n")).collect()
+    assert [tuple(r)[1:] for r in readers.map_sites(spark, put(tmp_path / "m", "1 snp4 0 88\n2 snp5 0.1 99\n")).orderBy("line").collect()] == [("1", "snp4", 88), ("2", "snp5", 99)]
+    assert tuple(readers.founder_kinship(spark, put(tmp_path / "k", "a b 0.125\n")).first()) == ("a", "b", 0.125)
+    assert [tuple(r)[1:] for r in readers.option_list(spark, put(tmp_path / "o", "# c\nE1\nx01\tName of x\n")).orderBy("line").collect()] == [("E1", "E1"), ("x01", "Name of x")]
+    good = readers.checked_primers(spark, put(tmp_path / "p", ">s1 5\nE1\nACG\n>s1 6\nE2\nACG\n"))
+    assert good.count() == 2 and good.select("entry").collect()
+    with pytest.raises(Exception, match="repeated primer"):
+        readers.checked_primers(spark, put(tmp_path / "q", ">s1 5\nE1\nACG\n>s1 5\nE2\nACG\n")).collect()
+    with pytest.raises(Exception, match="line 2: bad row"):
+        readers.checked_table(spark, put(tmp_path / "t", "c1\t5\nc1\tx\n"), 2, [2]).collect()
+
+
+def test_other_writers(spark):
+    cells = spark.createDataFrame([(i, j, float(i != j)) for i in "abc" for j in "abc"], "i string, j string, d double")
+    assert [r["value"] for r in writers.mega_lines(cells, "d", "t").collect()] == ["#mega", "!Title: t;", "!Format DataType=Distance DataFormat=LowerLeft;", "#a", "#b", "#c", "1.0000", "1.0000 1.0000"]
+    runs = spark.createDataFrame([("c2", 5, 9), ("c1", 7, 8)], "chrom string, start long, end long")
+    assert [r["value"] for r in writers.link_lines(runs).collect()] == ["c1 7 8", "c2 5 9"]
+    people = spark.createDataFrame([(1, "two words"), (0, "one")], "ord long, population string")
+    assert [r["value"] for r in writers.eigenstrat_ind_lines(people).collect()] == ["ind_0 M one", "ind_1 M two_words"]
+    assert writers.eigenstrat_parameters("g", "s", "i", "v", "w")[-1] == "numoutevec: 2"
+    lines = writers.submission_lines("H", "B", ["p", "q"])
+    assert lines.count("||") == 6 and lines.count("HANDLE: H") == 6 and "BATCH: B" in lines and "ID: q" in lines
