@@ -9,7 +9,7 @@
 4. Link counts are summed; the forests' components are the groups, and a group's smallest vec_id is kept.
 
 Vectors without label, null, empty or zero vectors and those with null or non-finite components link with nothing, and
-vectors of different lengths do not either. Rows without vec_id take part but give no id. An empty table gives an empty
+vectors of different lengths do not either. Components keep their precision: vectors are equal, and cosines computed, as doubles. Rows without vec_id take part but give no id. An empty table gives an empty
 result.
 """
 
@@ -40,6 +40,7 @@ def exact_margin(threshold: float) -> float:
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # else squares of very large or small components are lost
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -50,7 +51,8 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 7)
         sums = np.zeros_like(centres)
         np.add.at(sums, nearest, x)
         full = np.linalg.norm(sums, axis=1) > 1e-12
-        centres[full] = unit(sums[full])
+        if full.any():
+            centres[full] = unit(sums[full])
     return centres
 
 
@@ -62,8 +64,7 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 def _classes(vectors: DataFrame) -> DataFrame:
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    length = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    usable = F.coalesce(F.col("label").isNotNull() & finite & (length > 0), F.lit(False))
+    usable = F.coalesce(F.col("label").isNotNull() & finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label", usable.alias("usable"))
 
 
@@ -134,11 +135,12 @@ def _unit_links(threshold: float):
 def vector_links(classes: DataFrame, threshold: float = COSINE, margin: float | None = None, block: int = BLOCK) -> DataFrame:
     """(node, n, label, embedding) -> rows (node, links) with other null, and edges (node, other)."""
     spark, margin = classes.sparkSession, exact_margin(threshold) if margin is None else margin
+    kind = classes.schema["embedding"].dataType.simpleString()
     total = classes.count()
     k = min(MAX_CELLS, total // CLASSES_PER_CELL + 1)
     sample = classes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").toPandas()["embedding"]
     centres = {d: spherical_kmeans(unit(np.stack(x.to_numpy()).astype("float64")), k) for d, x in sample.groupby(sample.map(len))} if k > 1 else {}
-    cells = cut(classes.mapInArrow(_visits(centres, margin), "node long, n long, label int, embedding array<float>, dim int, cell int, home boolean"), "cells")
+    cells = cut(classes.mapInArrow(_visits(centres, margin), f"node long, n long, label int, embedding {kind}, dim int, cell int, home boolean"), "cells")
     keys = ["label", "dim", "cell"]
     sizes = cut(cells.groupBy(*keys).agg(F.count_if("home").alias("homes"), F.count_if(~F.col("home")).alias("visitors")), "sizes")
     blocks = lambda c: F.ceil(F.col(c) / block).cast("int")
@@ -164,7 +166,8 @@ def vector_links(classes: DataFrame, threshold: float = COSINE, margin: float |
 def near_vectors(vectors: DataFrame, threshold: float = COSINE, margin: float | None = None) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row of (vec_id, embedding, label)."""
     rows = _classes(vectors)
-    usable = rows.where("usable").withColumn("embedding", F.col("embedding").cast("array<float>"))
+    single = rows.schema["embedding"].dataType.simpleString() == "array<float>"  # such components are exact as they are
+    usable = rows.where("usable").withColumn("embedding", F.col("embedding").cast("array<float>" if single else "array<double>"))
     nameless = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64("label", "embedding"), 3)
     classes = usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("n")).withColumn("node", F.coalesce("node", nameless))
     classes = cut(classes.select("node", "n", F.col("label").cast("int").alias("label"), "embedding"), "classes")

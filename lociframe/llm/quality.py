@@ -2,14 +2,15 @@
 
 * Trusted positives: rows labelled good outside the held-out fold, at most ``MAX_SAMPLE`` in hash order. Unlabelled text:
   as many documents of the whole table in hash order, whatever their labels; bad labels are never used.
-* Features are measures of a whole text's form (``features``): how words repeat, how many are in capitals or carry odd
-  marks, over the text and in its worst window of ``WINDOW`` words. They are binned at quantiles of the sample.
+* Features of a whole text are its content, a profile of its byte trigrams hashed to ``PROFILE`` places, and measures of its form
+  (``features``): how words repeat, how many are in capitals or carry odd marks, over the text and in its worst window of ``WINDOW``
+  words. Profiles are standardised on the sample and scaled by ``SCALE``, measures are binned at its quantiles.
 * The class prior is the least ratio, over thresholds that keep enough positives, of the share of unlabelled to the share of
   held-back positives above the threshold (best bin estimate).
 * Risk: prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) with the sigmoid loss (Kiryo et al., 2017). The network's output is
   turned into a probability by prior * density of positives / density of unlabelled, made monotone.
 
-Null and empty texts have all-zero features and a score like any other text. Null labels are ignored; of contradicting labels
+Null and empty texts have all-zero measures and profiles and a score like any other text. Null labels are ignored; of contradicting labels
 of a doc_id the good one holds. Without positives every score is 0. Equal rows get equal scores; an empty table an empty
 result.
 """
@@ -28,16 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty
+from .common import small_batches, table, text_or_empty
 from .toxicity import fold, isotonic, labelled_examples
 
 MAX_SAMPLE = 6000
-WINDOW = 24
+WINDOW, CHUNK = 24, 1 << 16
 BINS = 12
 HIDDEN, ROUNDS, BATCH, RATE, DECAY = 24, 400, 1024, 0.01, 1e-3
 GOOD = 0.7
 ODD = re.compile(r"[^\w\s.,;:'\"()?-]")
-N_FEATURES = 16
+N_FORM, PROFILE, SCALE = 16, 128, 0.1
 
 
 def worst(flags: np.ndarray) -> float:
@@ -52,7 +53,7 @@ def features(text: str) -> list[float]:
     words = text.split()
     n = len(words)
     if not n:
-        return [0.0] * N_FEATURES
+        return [0.0] * N_FORM
     same = np.fromiter(map(eq, words, words[1:]), "int64", n - 1)
     upper = np.fromiter((w.isupper() and len(w) > 1 for w in words), "int64", n)
     odd = np.fromiter((not w.isalnum() for w in (w.strip(".,;:'\"()?-") for w in words)), "int64", n)
@@ -78,16 +79,35 @@ def features(text: str) -> list[float]:
     ]
 
 
+def profile(text: str) -> np.ndarray:
+    """Roots of the shares of the places that byte trigrams are hashed to; it has length 1 unless the text is shorter than a trigram."""
+    b = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), "u1")
+    counts = np.zeros(PROFILE)
+    for at in range(0, max(0, len(b) - 2), CHUNK):
+        part = b[at : at + CHUNK + 2].astype("uint32")
+        h = ((part[:-2] * np.uint32(65599) + part[1:-1]) * np.uint32(65599) + part[2:]) * np.uint32(2654435761)
+        counts += np.bincount(h >> np.uint32(16) & np.uint32(PROFILE - 1), minlength=PROFILE)
+    return np.sqrt(counts / max(1.0, counts.sum()))
+
+
+def described(texts: list[str]) -> np.ndarray:
+    """A row of measures and profile for each text."""
+    return np.array([np.r_[features(t), profile(t)] for t in texts]).reshape(-1, N_FORM + PROFILE)
+
+
 @dataclass
 class QualityModel:
     edges: list[np.ndarray]
+    mean: np.ndarray
+    spread: np.ndarray
     weights: list[np.ndarray]
     knots: np.ndarray
     values: np.ndarray
 
-    def binned(self, x: np.ndarray) -> np.ndarray:
-        """One column for each edge: whether the feature is above it."""
-        return np.hstack([(x[:, i : i + 1] > e).astype("float64") for i, e in enumerate(self.edges)])
+    def inputs(self, x: np.ndarray) -> np.ndarray:
+        """One column for each edge of a measure, whether it is above it, and the standardised profile."""
+        above = [(x[:, i : i + 1] > e).astype("float64") for i, e in enumerate(self.edges)]
+        return np.hstack([*above, SCALE * np.clip((x[:, N_FORM:] - self.mean) / self.spread, -4, 4)])
 
     def logit(self, b: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.weights
@@ -96,7 +116,7 @@ class QualityModel:
     def score(self, x: np.ndarray) -> np.ndarray:
         if not len(self.knots) or not len(x):
             return np.zeros(len(x))
-        return np.interp(self.logit(self.binned(x)), self.knots, self.values)
+        return np.interp(self.logit(self.inputs(x)), self.knots, self.values)
 
 
 def best_bin(p: np.ndarray, u: np.ndarray, least: float = 0.5) -> float:
@@ -138,12 +158,13 @@ def train(p: np.ndarray, u: np.ndarray, prior: float, seed: int = 3, rounds: int
 def fit(p: np.ndarray, u: np.ndarray, seed: int = 3) -> QualityModel:
     """From the features of positives and of unlabelled texts."""
     if not len(p) or not len(u):
-        return QualityModel([], [], np.zeros(0), np.zeros(0))
+        return QualityModel([], np.zeros(0), np.zeros(0), [], np.zeros(0), np.zeros(0))
     both = np.vstack([p, u])
     quantiles = np.r_[np.linspace(0, 1, BINS + 1)[1:-1], 0.95, 0.98, 0.99]
-    edges = [np.unique(np.quantile(both[:, i], quantiles)) for i in range(both.shape[1])]
-    model = QualityModel(edges, [], np.zeros(0), np.zeros(0))
-    bp, bu = model.binned(p), model.binned(u)
+    edges = [np.unique(np.quantile(both[:, i], quantiles)) for i in range(N_FORM)]
+    shape = both[:, N_FORM:]
+    model = QualityModel(edges, shape.mean(axis=0), shape.std(axis=0) + 1e-6, [], np.zeros(0), np.zeros(0))
+    bp, bu = model.inputs(p), model.inputs(u)
     back = np.random.default_rng(seed).random(len(p)) < 0.25 if len(p) >= 40 else np.zeros(len(p), bool)
     held = bp[back] if back.any() else bp
     prior = 0.5
@@ -163,16 +184,17 @@ def fit(p: np.ndarray, u: np.ndarray, seed: int = 3) -> QualityModel:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: Column, max_sample: int = MAX_SAMPLE) -> QualityModel:
+    small_batches(docs.sparkSession)
     good = labelled_examples(labels, "quality", train_rows, max_sample)[0].where("y = 1")
     texts = docs.select("doc_id", text_or_empty(docs).alias("text"))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([features(t) for t in b.column(0).to_pylist()], pa.list_(pa.float64()))], ["x"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(described(b.column(0).to_pylist())), pa.list_(pa.float64()))], ["x"])
 
     def sample(rows: DataFrame) -> np.ndarray:  # at most max_sample rows of numbers
         found = rows.select("text").mapInArrow(measured, "x array<double>").toPandas()["x"]
-        return np.stack(found.to_numpy()) if len(found) else np.empty((0, N_FEATURES))
+        return np.stack(found.to_numpy()) if len(found) else np.empty((0, N_FORM + PROFILE))
 
     ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(max_sample).distinct()
     positives = sample(texts.join(F.broadcast(good.select("doc_id")), "doc_id"))
@@ -180,11 +202,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: Column, max_samp
 
 
 def quality(spark: SparkSession, model: QualityModel):
-    held = spark.sparkContext.broadcast(model)  # bounded: a few thousand numbers
+    small_batches(spark)
+    held = spark.sparkContext.broadcast(model)  # bounded: some ten thousand numbers
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(held.value.score(np.array([features(t or "") for t in texts]).reshape(-1, N_FEATURES)))
+        return pd.Series(held.value.score(described([t or "" for t in texts])))
 
     return score
 

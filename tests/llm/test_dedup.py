@@ -154,8 +154,8 @@ def test_vectors(spark, monkeypatch):
     want = sorted(((i, sum(near(k, o) for o in keys if o is not k), least.get(x), i == least.get(x)) for i, k, x in zip(ids, keys, label, strict=True)), key=repr)
     for block in (8, 512):
         monkeypatch.setattr(embedding_dedup, "BLOCK", block)
-        monkeypatch.setattr(embedding_dedup.vector_links, "__defaults__", (0.98, 0.2, block))
-        assert rows(embedding_dedup.near_vectors(docs, margin=0.2), "vec_id", "n_links", "component_id", "kept") == want
+        monkeypatch.setattr(embedding_dedup.vector_links, "__defaults__", (0.98, None, block))
+        assert rows(embedding_dedup.near_vectors(docs), "vec_id", "n_links", "component_id", "kept") == want
     assert embedding_dedup.near_vectors(docs.limit(0)).isEmpty()
 
 
@@ -176,9 +176,10 @@ def test_recall_of_the_default_margin(spark):
 def test_default_margin_loses_no_link(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "CLASSES_PER_CELL", 30)
     rng = np.random.default_rng(8)
-    for dims, threshold in ((2, 0.98), (3, 0.9)):
-        x = np.float32(rng.normal(size=(500, dims)))
-        table = spark.createDataFrame([(i, [float(v) for v in row], 0) for i, row in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    for dims, threshold, kind in ((3, 0.98, "float"), (8, 0.9, "double")):
+        x = rng.normal(size=(500, dims)) * (1 if kind == "float" else 1e200)
+        x = np.float32(x) if kind == "float" else x
+        table = spark.createDataFrame([(i, [float(v) for v in row], 0) for i, row in enumerate(x)], f"vec_id long, embedding array<{kind}>, label int")
         found = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(table, threshold).collect()}
         unit = embedding_dedup.unit(x.astype("float64"))
         links = (unit @ unit.T >= threshold).sum(axis=1) - 1
