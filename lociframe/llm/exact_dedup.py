@@ -1,13 +1,15 @@
 """Exact deduplication through an extendible-hash index on shared files.
 
-1. One pass writes (doc_id, key, sha256) of every normalised text to the shared folder; key is a 64-bit hash.
-2. The directory comes from the number of distinct keys under each prefix of ``MAX_DEPTH`` bits: starting with one
-   bucket, every overfull bucket splits on its next bit, and a split of the deepest ones doubles the directory. It has
-   at most ``2 ** MAX_DEPTH`` entries at any input size; fuller buckets then overflow into longer sorted runs on disk.
-3. Each task first folds the copies it reads (one record for a text, with the largest id and a count), so that a text
-   that fills a third of the table reaches its owner as a few records. Owner tasks take whole buckets, which are ranges
-   of the key, sorted by key. They chain the texts of a key and compare their bytes; only a chain is held in memory.
-4. The index (sha256, keep_id, group_size, key, chain) is written to the shared folder and joined to the ids.
+1. A text's key is a 64-bit hash of its normalised form. A task folds the copies it reads, within ``FOLD_BYTES``, to one record of
+   the text and its ids, so that a text that fills a third of the table reaches its owner as a few records.
+2. Owners take equal ranges of keys, those of one prefix, as many as a power of two; hashed keys fill them evenly. An owner reads
+   its records in order of the key, chains the texts of a key and compares their bytes: that comparison alone decides which rows
+   are equal. Only the texts of one key are held in memory.
+3. When its range is complete, the owner splits it: a bucket of more than ``BUCKET_KEYS`` keys is halved by the next bit, to any
+   depth. The index goes to files in the shared folder: entries (key, chain, digest, the id that stays, group size), members
+   (key, chain, ids), and the directory, a row (first key, depth, keys) for each bucket. The entries of the doubled directory that point to the same
+   bucket are that one row; a range without keys is one empty bucket that has no row.
+4. Each document's row is looked up by key and chain.
 
 Nulls and edge cases: a null text counts as empty; rows of one group with the same largest doc_id are all kept by
 ``kept``; a null doc_id loses to any other and keeps its group if all are null. An empty table gives an empty result.
@@ -19,16 +21,18 @@ import hashlib
 import string
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table, tasks, text_or_empty
+from .common import cut, small_batches, table, tasks, text_or_empty
 
 BUCKET_KEYS = 64
-MAX_DEPTH = 14
 FOLD_BYTES = 32 << 20
+IDS_IN_ROW = 8192
+INDEX = "key long, chain int, ids array<long>, sha binary, keep_id long, group_size long, depth int, keys long"
 
 
 def normalised(text: str) -> bytes:
@@ -45,50 +49,27 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = [normalised(t) for t in b.column(1).to_pylist()]
-        keys = pa.array([signed(xxhash.xxh64_intdigest(t, 42)) for t in texts], pa.int64())
-        digests = pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())
-        yield pa.RecordBatch.from_arrays([b.column(0), keys, digests], ["doc_id", "key", "sha"])
+def _folded(bits: int):
+    """(doc_id, text) -> (owner, key, norm, ids): the copies that a task meets together are one record."""
 
-
-def directory(keys: DataFrame, bucket_keys: int = BUCKET_KEYS, max_depth: int = MAX_DEPTH) -> tuple[int, list[int]]:
-    """(depth, bucket of each prefix of that many bits)."""
-    prefix = F.shiftrightunsigned("key", 64 - max_depth).cast("int")
-    loads = dict(keys.select("key").distinct().groupBy(prefix.alias("prefix")).count().collect())  # at most 2 ** max_depth rows
-    sums = [[loads.get(i, 0) for i in range(1 << max_depth)]]
-    while len(sums[-1]) > 1:
-        sums.append([a + b for a, b in zip(sums[-1][::2], sums[-1][1::2], strict=True)])
-    leaves, open_buckets = [], [(0, 0)]
-    while open_buckets:
-        depth, at = open_buckets.pop()
-        if depth < max_depth and sums[max_depth - depth][at] > bucket_keys:
-            open_buckets += [(depth + 1, 2 * at + 1), (depth + 1, 2 * at)]
-        else:
-            leaves.append((depth, at))
-    depth = max(d for d, _ in leaves)
-    return depth, [bucket for bucket, (d, _) in enumerate(leaves) for _ in range(1 << (depth - d))]
-
-
-def _folded(depth: int, buckets: list[int]):
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            texts = list(held)
-            keys = [xxhash.xxh64_intdigest(t, 42) for t in texts]
-            columns = [pa.array([buckets[k >> (64 - depth)] if depth else 0 for k in keys], pa.int32()), pa.array([signed(k) for k in keys], pa.int64()), pa.array(texts, pa.binary()), pa.array([x[0] for x in held.values()], pa.int64()), pa.array([x[1] for x in held.values()], pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["bucket", "key", "norm", "max_id", "n"])
+            keys = [xxhash.xxh64_intdigest(t, 42) for t in held]
+            owners = [k >> (64 - bits) if bits else 0 for k in keys]
+            columns = [pa.array(owners, pa.int32()), pa.array([signed(k) for k in keys], pa.int64()), pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, ["owner", "key", "norm", "ids"])
 
         held: dict[bytes, list] = {}
         size = 0
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if (x := held.get(t := normalised(t))) is None:
-                    held[t] = [i, 1]
+                t = normalised(t)
+                if (ids := held.get(t)) is None:
+                    held[t] = [i]
                     size += len(t) + 200
                 else:
-                    x[0] = i if x[0] is None or i is not None and i > x[0] else x[0]
-                    x[1] += 1
+                    ids.append(i)
+                    size += 40
                 if size > FOLD_BYTES:
                     yield flush()
                     held, size = {}, 0
@@ -98,50 +79,87 @@ def _folded(depth: int, buckets: list[int]):
     return fold
 
 
-def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records in order of their key -> one row for each text of each key."""
-    names = ["key", "chain", "sha", "keep_id", "group_size"]
-    done: list[tuple] = []
-    chain: list[list] = []
-    last = None
-
-    def close() -> None:
-        done.extend((last, i, hashlib.sha256(t).digest(), m, n) for i, (t, m, n) in enumerate(chain))
-
-    def batch() -> pa.RecordBatch:
-        types = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*done, strict=True), types, strict=True)], names)
-
-    for b in batches:
-        for key, t, m, n in zip(*(b.column(i).to_pylist() for i in range(1, 5)), strict=True):
-            if key != last:
-                close()
-                chain, last = [], key
-            for x in chain:
-                if x[0] == t:
-                    x[1] = m if x[1] is None or m is not None and m > x[1] else x[1]
-                    x[2] += n
-                    break
-            else:
-                chain.append([t, m, n])
-        if len(done) > 4096:
+def split(keys: np.ndarray, low: int, depth: int, bucket_keys: int) -> list[tuple[int, int, int]]:
+    """(first key, depth, number of keys) of the buckets of a range: unsigned keys in order, from ``low``, whose first ``depth`` bits are fixed."""
+    out, open_buckets = [], [(low, depth, 0, len(keys))]
+    while open_buckets:
+        low, depth, a, b = open_buckets.pop()
+        if b - a <= bucket_keys or depth == 64:
+            out.append((low, depth, b - a))
+            continue
+        middle = low + (1 << (63 - depth))
+        at = a + int(np.searchsorted(keys[a:b], np.uint64(middle)))
+        open_buckets += [(middle, depth + 1, at, b), (low, depth + 1, a, at)]
+    return out
+
+
+def _chained(bits: int, bucket_keys: int):
+    """Records of an owner in order of their key -> its part of the index."""
+    types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    names = [c.split()[0] for c in INDEX.split(", ")]
+
+    def chain_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[tuple] = []
+        chain: list[list] = []
+        keys: list[int] = []
+        last, waiting = None, 0
+
+        def close() -> None:
+            done.extend((last, i, None, hashlib.sha256(t).digest(), m, n, None, None) for i, (t, m, n) in enumerate(chain))
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*done, strict=True), types, strict=True)], names)
+
+        for b in batches:
+            for key, t, ids in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                if key != last:
+                    close()
+                    chain, last = [], key
+                    keys.append(key)
+                known = [i for i in ids if i is not None]
+                m = max(known) if known else None
+                for at, x in enumerate(chain):
+                    if x[0] == t:
+                        x[1] = m if x[1] is None or m is not None and m > x[1] else x[1]
+                        x[2] += len(ids)
+                        break
+                else:
+                    at = len(chain)
+                    chain.append([t, m, len(ids)])
+                done.extend((key, at, ids[i : i + IDS_IN_ROW], None, None, None, None, None) for i in range(0, len(ids), IDS_IN_ROW))
+                waiting += len(ids)
+                if waiting > 4 * IDS_IN_ROW:
+                    yield batch()
+                    done.clear()
+                    waiting = 0
+        close()
+        if keys:
+            unsigned = np.sort(np.array(keys, "int64").view("uint64"))
+            low = int(unsigned[0]) >> (64 - bits) << (64 - bits) if bits else 0
+            done.extend((signed(first), None, None, None, None, None, depth, n) for first, depth, n in split(unsigned, low, bits, bucket_keys))
+        if done:
             yield batch()
-            done.clear()
-    close()
-    if done:
-        yield batch()
 
+    return chain_up
 
-def exact_groups(docs: DataFrame, bucket_keys: int = BUCKET_KEYS, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256, key, chain for each row of ``docs``."""
+
+def build_index(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+    """Writes the index of ``docs`` to the shared folder: entries have a digest, members have ids, buckets a depth."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
-    keys = cut(rows.mapInArrow(_keys, "doc_id long, key long, sha binary"), "keys")
-    depth, buckets = directory(keys, bucket_keys, max_depth)
-    records = rows.mapInArrow(_folded(depth, buckets), "bucket int, key long, norm binary, max_id long, n long")
-    owned = records.repartition(tasks(spark), "bucket").sortWithinPartitions("bucket", "key")
-    index = cut(owned.mapInArrow(_chained, "key long, chain int, sha binary, keep_id long, group_size long"), "index")
-    found = keys.join(index.withColumnRenamed("key", "index_key"), "sha")
+    bits = max(0, tasks(spark) - 1).bit_length()
+    records = rows.mapInArrow(_folded(bits), "owner int, key long, norm binary, ids array<long>")
+    owned = records.repartitionById(1 << bits, F.col("owner")).sortWithinPartitions("key")
+    return cut(owned.mapInArrow(_chained(bits, bucket_keys), INDEX), "index")
+
+
+def exact_groups(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256, key, chain for each row of ``docs``."""
+    index = build_index(docs, bucket_keys)
+    members = index.where("ids IS NOT NULL").select("key", "chain", F.explode("ids").alias("doc_id"))
+    entries = index.where("sha IS NOT NULL").select("key", "chain", "sha", "keep_id", "group_size")
+    found = members.join(entries, ["key", "chain"])
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "key", "chain")
 
 

@@ -29,26 +29,48 @@ def brute_groups(table):
 @pytest.mark.parametrize("bucket_keys", [1, 64])
 def test_exact_groups(spark, bucket_keys):
     docs = clashing(documents(spark))
-    got = rows(exact_dedup.exact_groups(docs, bucket_keys, 4), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
-    assert got == brute_groups([(r["doc_id"], r["text"]) for r in docs.collect()])
+    got = exact_dedup.exact_groups(docs, bucket_keys)
+    assert rows(got, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == brute_groups([(r["doc_id"], r["text"]) for r in docs.collect()])
+    keys = docs.select(F.xxhash64(exact_dedup.normalised_text(F.coalesce("text", F.lit("")))).alias("key"))
+    assert rows(got, "key") == rows(keys, "key")  # the JVM has the same keys
     assert exact_dedup.exact_groups(docs.limit(0)).isEmpty()
 
 
+def test_folds_and_long_member_lists(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "FOLD_BYTES", 2000)
+    monkeypatch.setattr(exact_dedup, "IDS_IN_ROW", 3)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + 40)), pa.array(["hot" if j % 2 else f"t{j}" for j in range(40)])], ["doc_id", "text"]) for i in (0, 40, 80)]
+    folded = pa.Table.from_batches(list(exact_dedup._folded(0)(iter(batches)))).sort_by("key")
+    assert 20 < len(folded) < 120 and sum(map(len, folded["ids"].to_pylist())) == 120
+    index = pa.Table.from_batches(list(exact_dedup._chained(0, 4)(iter(folded.to_batches())))).to_pylist()
+    entries = {(r["key"], r["chain"]): r for r in index if r["sha"] is not None}
+    members = [(i, entries[r["key"], r["chain"]]["keep_id"]) for r in index if r["ids"] is not None for i in r["ids"]]
+    assert len(entries) == 21 and sorted(i for i, _ in members) == list(range(120)) and max(len(r["ids"] or []) for r in index) == 3
+    assert all(keep == (119 if i % 2 else i % 40 + 80) for i, keep in members)
+
+
 def test_collisions_are_chained():
-    batch = pa.RecordBatch.from_arrays([pa.array([0] * 4, pa.int32()), pa.array([5, 5, 5, 6], pa.int64()), pa.array([b"x", b"y", b"x", b"x"]), pa.array([1, 2, 3, None], pa.int64()), pa.array([1, 1, 2, 1], pa.int64())], ["bucket", "key", "norm", "max_id", "n"])
-    got = [tuple(r[c] for c in ("key", "chain", "keep_id", "group_size")) for b in exact_dedup._chained(iter([batch.slice(0, 2), batch.slice(2)])) for r in b.to_pylist()]
-    assert got == [(5, 0, 3, 3), (5, 1, 2, 1), (6, 0, None, 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 4, pa.int32()), pa.array([5, 5, 5, 6], pa.int64()), pa.array([b"x", b"y", b"x", b"x"]), pa.array([[1], [2], [3, 3], [None]], pa.list_(pa.int64()))], ["owner", "key", "norm", "ids"])
+    index = [r for b in exact_dedup._chained(0, 64)(iter([batch.slice(0, 2), batch.slice(2)])) for r in b.to_pylist()]
+    assert [tuple(r[c] for c in ("key", "chain", "keep_id", "group_size")) for r in index if r["sha"]] == [(5, 0, 3, 3), (5, 1, 2, 1), (6, 0, None, 1)]
+    assert [(r["key"], r["chain"], r["ids"]) for r in index if r["ids"]] == [(5, 0, [1]), (5, 1, [2]), (5, 0, [3, 3]), (6, 0, [None])]
 
 
 def test_directory_splits_overfull_buckets(spark):
-    keys = spark.range(4000).select(F.xxhash64("id").alias("key"))
-    depth, buckets = exact_dedup.directory(keys, 100, 10)
-    loads = {}
-    for r in keys.collect():
-        at = buckets[(r["key"] % (1 << 64)) >> (64 - depth)]
-        loads[at] = loads.get(at, 0) + 1
-    assert len(buckets) == 1 << depth and max(loads.values()) <= 100 and sorted(set(buckets)) == list(range(max(buckets) + 1))
-    assert exact_dedup.directory(keys.limit(0)) == (0, [0])
+    index = exact_dedup.build_index(documents(spark, [(i, f"text {i}") for i in range(4000)]), 10)
+    keys = np.sort(np.array([r["key"] for r in index.where("sha IS NOT NULL").collect()], "int64").view("uint64"))
+    buckets = sorted((r["key"] % (1 << 64), r["depth"], r["keys"]) for r in index.where("depth IS NOT NULL").collect())
+    assert len(keys) == 4000 and sum(n for _, _, n in buckets) == 4000 and max(n for _, _, n in buckets) <= 10
+    ends = [low + (1 << (64 - depth)) for low, depth, _ in buckets]
+    assert buckets[0][0] == 0 and ends[-1] == 1 << 64 and all(end == low for end, (low, _, _) in zip(ends, buckets[1:], strict=False))
+    for (low, depth, n), end in zip(buckets, ends, strict=True):
+        assert low % (1 << (64 - depth)) == 0 and n == np.count_nonzero((keys >= np.uint64(low)) & (keys <= np.uint64(end - 1)))
+        if depth > 2:  # its parent was overfull
+            width = 1 << (65 - depth)
+            parent = low // width * width
+            assert np.count_nonzero((keys >= np.uint64(parent)) & (keys <= np.uint64(parent + width - 1))) > 10
+    assert exact_dedup.split(np.array([7, 7], "uint64")[:1], 0, 0, 64) == [(0, 0, 1)]
+    assert len(exact_dedup.split(np.array([6, 7], "uint64"), 0, 0, 1)) == 65  # only the last bit tells them
 
 
 def brute_fingerprint(text):
