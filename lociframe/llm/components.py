@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first())
+def _starred(edges: DataFrame) -> bool:
+    """Whether every edge (a, b) leads to the least node of its component: no a has two edges, or is the b of one."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 OR out > 0 AND into > 0").isEmpty()
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -25,8 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
     row of its minimum is a plain sort-merge join, whose large partitions Spark splits.
     """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = _state(edges)
-    while True:
+    while not _starred(edges):
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         joined = _star(both)
         large = cut(joined.where("v > u").select(F.col("v").alias("a"), F.col("least").alias("b")).where("a <> b").distinct(), "large")
@@ -34,7 +35,14 @@ def components(edges: DataFrame) -> DataFrame:
         joined = _star(down)
         links = joined.select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("least").alias("b")), F.struct(F.col("u").alias("a"), F.col("least").alias("b")))).alias("e"))
         edges = cut(links.select("e.a", "e.b").where("a <> b").distinct(), "small")
-        if (now := _state(edges)) == state:
-            break
-        state = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
+
+
+def joined_components(found: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, component) with further edges (a, b): the components themselves are the nodes of a smaller graph."""
+    ends = [found.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab"]
+    links = more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    merged = cut(components(links), "merged")
+    known = found.join(merged.select(F.col("node").alias("component"), F.col("component").alias("least")), "component", "left").select("node", F.coalesce("least", "component").alias("component"))
+    new = merged.join(found.select("node"), "node", "left_anti").select("node", "component")
+    return known.union(new)

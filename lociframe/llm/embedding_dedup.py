@@ -3,7 +3,8 @@
 1. Equal vectors of a label become one class with its smallest vec_id and its size.
 2. Centroids are fitted on at most ``SAMPLE`` classes; every class is assigned to its nearest centroid. A class near the
    border of another cell visits it: it may have partners there. Both ends of a link across a border lie within
-   sqrt(1 - threshold ** 2) of it, 0.199 at 0.98; that margin is the default, and no link is lost.
+   sqrt(1 - threshold ** 2) of it, 0.199 at 0.98; that margin is the default, and no link is lost. There are at most ``MAX_CELLS``
+   cells; full ones are cut again, each by its own k-means, into ``INNER`` cells at most.
 3. A cell of one label is cut in blocks of about ``BLOCK`` rows. A unit is a pair of blocks of which one holds residents;
    its cosines are one matrix product. For each row it gives the number of its links, and a spanning forest.
 4. Link counts are summed; the forests' components are the groups, and a group's smallest vec_id is kept.
@@ -18,18 +19,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table, tasks
+from .common import cut, small_batches, table, tasks
 from .components import components
 from .simhash import NO_ID, forest
 
 COSINE = 0.98
 SAMPLE = 20_000
 CLASSES_PER_CELL = 1024
-MAX_CELLS = 2048
+MAX_CELLS, FULL, INNER, INNER_SAMPLE = 2048, 4096, 64, 4000
 BLOCK = 512
 ROUNDS = 10
 
@@ -68,28 +70,80 @@ def _classes(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label", usable.alias("usable"))
 
 
+class Cells:
+    """Centroids, and how near a vector must be to the border of a cell to visit it."""
+
+    def __init__(self, centres: np.ndarray, margin: float):
+        self.centres, self.reach = centres, np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T)) * margin + 1e-9
+
+    def visits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, cell, whether it is the row's own)."""
+        near = x @ self.centres.T
+        own = near.argmax(axis=1)
+        rows, cells = np.nonzero(near.max(axis=1, keepdims=True) - near <= self.reach[own])
+        return rows, cells, own[rows] == cells
+
+
 def _visits(centres: dict[int, np.ndarray], margin: float):
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {d: Cells(c, margin) for d, c in centres.items()}
         for b in batches:
             dims = np.diff(b.column(3).offsets.to_numpy())
             for dim in np.unique(dims):
                 part = b.filter(pa.array(dims == dim))
-                if int(dim) not in centres:  # no sample has this length
-                    cells, rows, home = np.zeros(len(part), "int32"), np.arange(len(part)), np.ones(len(part), bool)
+                if int(dim) not in found:  # no sample has this length
+                    rows, cells, home = np.arange(len(part)), np.zeros(len(part), "int64"), np.ones(len(part), bool)
                 else:
-                    c = centres[int(dim)]
-                    near = matrix(part.column(3)) @ c.T
-                    own = near.argmax(axis=1)
-                    gap = np.linalg.norm(c[:, None] - c[None], axis=2)
-                    close = near.max(axis=1, keepdims=True) - near <= gap[own] * margin + 1e-9
-                    rows, cells = np.nonzero(close)
-                    home = own[rows] == cells
+                    rows, cells, home = found[int(dim)].visits(matrix(part.column(3)))
                 taken = part.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), taken.column(2), taken.column(3), pa.array(np.full(len(rows), dim), pa.int32()), pa.array(cells.astype("int32")), pa.array(home)], ["node", "n", "label", "embedding", "dim", "cell", "home"])
 
     return visits
 
 
+def split_cells(cells: DataFrame, margin: float, name: str = "cells") -> DataFrame:
+    """Cells of more than ``FULL`` residents are cut again by k-means, fitted on about ``INNER_SAMPLE`` of their residents each.
+
+    Whoever is in a cell visits the inner cells that its border margin reaches; only residents are at home in one. So no link is lost.
+    """
+    spark = cells.sparkSession
+    full = cut(cells.where("home").groupBy("dim", "cell").agg(F.count("*").alias("homes")).where(F.col("homes") > FULL), "full")
+    if full.isEmpty():
+        return cells
+    drawn = cells.where("home").join(F.broadcast(full), ["dim", "cell"])  # at most MAX_CELLS rows a length
+    drawn = drawn.where(F.pmod(F.xxhash64("node", F.lit(3)), F.col("homes")) < INNER_SAMPLE)
+
+    def fit(t: pd.DataFrame) -> pd.DataFrame:
+        x = unit(np.stack(t.sort_values("node")["embedding"].to_list()).astype("float64"))
+        centres = spherical_kmeans(x, min(INNER, int(t["homes"].iloc[0]) // CLASSES_PER_CELL + 1))
+        return pd.DataFrame({"dim": t["dim"].iloc[0], "cell": t["cell"].iloc[0], "centre": list(centres)})
+
+    inner: dict[tuple[int, int], list] = {}
+    for r in drawn.select("dim", "cell", "homes", "node", "embedding").groupBy("dim", "cell").applyInPandas(fit, "dim int, cell int, centre array<double>").collect():  # MAX_CELLS * INNER rows at most
+        inner.setdefault((r["dim"], r["cell"]), []).append(r["centre"])
+    held = spark.sparkContext.broadcast({k: np.array(v) for k, v in inner.items()})
+
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[tuple[int, int], Cells] = {}
+        for b in batches:
+            dims, at = b.column(4).to_numpy(), b.column(5).to_numpy()
+            for key in {*zip(dims.tolist(), at.tolist(), strict=True)}:
+                part = b.filter(pa.array((dims == key[0]) & (at == key[1])))
+                if key not in held.value:
+                    yield part
+                    continue
+                if key not in made:
+                    if len(made) > 64:
+                        made.clear()
+                    made[key] = Cells(held.value[key], margin)
+                rows, inner, home = made[key].visits(matrix(part.column(3)))
+                taken = part.take(pa.array(rows))
+                home &= taken.column(6).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([*taken.columns[:5], pa.array((MAX_CELLS + key[1] * INNER + inner).astype("int32")), pa.array(home)], schema=b.schema)
+
+    return cut(cells.mapInArrow(visits, cells.schema), name)
+
+
 def _unit_links(threshold: float):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows in order of their unit -> (node, links) and (node, links 0, other): a count or an edge."""
@@ -135,12 +189,14 @@ def _unit_links(threshold: float):
 def vector_links(classes: DataFrame, threshold: float = COSINE, margin: float | None = None, block: int = BLOCK) -> DataFrame:
     """(node, n, label, embedding) -> rows (node, links) with other null, and edges (node, other)."""
     spark, margin = classes.sparkSession, exact_margin(threshold) if margin is None else margin
+    small_batches(spark)
     kind = classes.schema["embedding"].dataType.simpleString()
     total = classes.count()
     k = min(MAX_CELLS, total // CLASSES_PER_CELL + 1)
     sample = classes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").toPandas()["embedding"]
     centres = {d: spherical_kmeans(unit(np.stack(x.to_numpy()).astype("float64")), k) for d, x in sample.groupby(sample.map(len))} if k > 1 else {}
     cells = cut(classes.mapInArrow(_visits(centres, margin), f"node long, n long, label int, embedding {kind}, dim int, cell int, home boolean"), "cells")
+    cells = split_cells(cells, margin)
     keys = ["label", "dim", "cell"]
     sizes = cut(cells.groupBy(*keys).agg(F.count_if("home").alias("homes"), F.count_if(~F.col("home")).alias("visitors")), "sizes")
     blocks = lambda c: F.ceil(F.col(c) / block).cast("int")

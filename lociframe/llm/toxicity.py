@@ -38,7 +38,7 @@ from .common import cut, small_batches, table, tasks, text_or_empty
 from .tokens import run_places
 
 TERM = re.compile(r"[^\W\d_]+")
-MAX_EXAMPLES = 1500
+MAX_EXAMPLES = 1000
 CHANCE = 5.5  # one term in a million is that far from its expectation by chance, roughly
 K, NEAR, BLOCK, FIRST_BLOCKS = 10, 0.1, 64, 3
 MEMO, TERMS, TEXTS = 5_000, 200_000, 64

@@ -150,6 +150,10 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: v for k, v in label.items() if any(k in e and e[0] != e[1] for e in edges)}
     assert components.components(spark.createDataFrame([], "a long, b long")).isEmpty()
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    for at in (0, 1, 30, len(edges) - 1):
+        parts = components.joined_components(components.components(frame(edges[:at])), frame(edges[at:]))
+        assert {r["node"]: r["component"] for r in parts.collect()} == got and parts.count() == len(got)
 
 
 def test_vectors(spark, monkeypatch):
@@ -195,8 +199,11 @@ def test_recall_of_the_default_margin(spark):
     assert n >= 0.9 * wanted and sum(found.values()) <= wanted
 
 
-def test_default_margin_loses_no_link(spark, monkeypatch):
+@pytest.mark.parametrize("most", [2048, 3])
+def test_default_margin_loses_no_link(spark, monkeypatch, most):
     monkeypatch.setattr(embedding_dedup, "CLASSES_PER_CELL", 30)
+    monkeypatch.setattr(embedding_dedup, "MAX_CELLS", most)  # few cells are full and cut again
+    monkeypatch.setattr(embedding_dedup, "FULL", 60)
     rng = np.random.default_rng(8)
     for dims, threshold, kind in ((3, 0.98, "float"), (8, 0.9, "double")):
         x = rng.normal(size=(500, dims)) * (1 if kind == "float" else 1e200)
