@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.storage import stored
 from ..functions.tails import binomial_tails, hypergeometric_tails
 
 #: Categories that say nothing.
@@ -54,14 +55,21 @@ def cooccurrence(membership: DataFrame) -> DataFrame:
 
 
 def clustering_coefficient(edges: DataFrame) -> DataFrame:
-    """Weighted (geometric mean of triangle weights over the largest weight) for each node of (c1 < c2, weight)."""
+    """Weighted (geometric mean of triangle weights over the largest weight) for each node of (c1 < c2, weight).
+
+    Edges point from the node of the lower degree to that of the higher (ties by name): no node has more than the root of twice the
+    edges going out, so that the pairs at a hub stay few.
+    """
+    edges = stored(edges.select("c1", "c2", "weight"))
+    degree = stored(edges.select(F.explode(F.array("c1", "c2")).alias("node")).groupBy("node").agg(F.count("*").alias("degree")))
     top = edges.agg(F.max("weight").alias("top"))
-    e = edges.crossJoin(F.broadcast(top)).select("c1", "c2", (F.col("weight") / F.col("top")).alias("w"))  # one row
-    both = e.union(e.select(F.col("c2"), F.col("c1"), "w").toDF("c1", "c2", "w"))
-    degree = both.groupBy(F.col("c1").alias("node")).agg(F.count("*").alias("degree"))
+    ends = [degree.select(F.col("node").alias(c), F.struct("degree", F.col("node").alias("n")).alias(f"r{c[1]}")) for c in ("c1", "c2")]
+    e = edges.join(ends[0], "c1").join(ends[1], "c2").crossJoin(F.broadcast(top))  # one row
+    e = stored(e.select(F.least("r1", "r2").alias("lo"), F.greatest("r1", "r2").alias("hi"), (F.col("weight") / F.col("top")).alias("w")))
     x, y, z = e.alias("x"), e.alias("y"), e.alias("z")
-    triangles = x.join(y, F.col("x.c2") == F.col("y.c1")).join(z, (F.col("x.c1") == F.col("z.c1")) & (F.col("y.c2") == F.col("z.c2")))
-    closed = triangles.select(F.cbrt(F.col("x.w") * F.col("y.w") * F.col("z.w")).alias("t"), F.explode(F.array("x.c1", "x.c2", "y.c2")).alias("node"))
+    wedges = x.join(y, (F.col("x.lo") == F.col("y.lo")) & (F.col("x.hi") < F.col("y.hi")))
+    triangles = wedges.join(z, (F.col("x.hi") == F.col("z.lo")) & (F.col("y.hi") == F.col("z.hi")))
+    closed = triangles.select(F.cbrt(F.col("x.w") * F.col("y.w") * F.col("z.w")).alias("t"), F.explode(F.array("x.lo.n", "x.hi.n", "y.hi.n")).alias("node"))
     sums = closed.groupBy("node").agg(F.sum("t").alias("t"))
     value = 2 * F.coalesce("t", F.lit(0.0)) / F.nullif(F.col("degree") * (F.col("degree") - 1), F.lit(0))
     return degree.join(sums, "node", "left").select("node", "degree", F.coalesce(value, F.lit(0.0)).alias("coefficient"))
