@@ -30,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ from .common import cut, small_batches, table, tasks, text_or_empty
 from .tokens import run_places
 
 TERM = re.compile(r"[^\W\d_]+")
-MAX_EXAMPLES = 1000
+MAX_EXAMPLES = 1500
 CHANCE = 5.5  # one term in a million is that far from its expectation by chance, roughly
 K, NEAR, BLOCK, FIRST_BLOCKS = 10, 0.1, 64, 3
 MEMO, TERMS, TEXTS = 5_000, 200_000, 64
@@ -270,11 +271,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, max_examples
     chosen = cut(chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "y"), "chosen")
     examples = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")  # at most 2 * max_examples ids
     found = cut(examples.mapInArrow(_vectors, "doc_id long, y int, terms array<long>, counts array<long>"), "examples")
-    rows = found.orderBy("doc_id", "terms", "counts").toArrow().to_pylist()
-    labels_of, ids = np.array([r["y"] for r in rows], "int64"), np.array([r["doc_id"] for r in rows], "int64")
+    rows = found.orderBy("doc_id", "terms", "counts").toArrow().combine_chunks()
+    labels_of, ids = rows["y"].to_numpy().astype("int64"), rows["doc_id"].to_numpy()
     if not labels_of.sum():
         return ToxicityModel(None, 0.0, np.zeros(0), np.zeros(0))
-    vectors = [(np.array(r["terms"], "int64").view("uint64"), np.array(r["counts"], "int64")) for r in rows]
+    hashes, counts = (pc.list_flatten(rows[c]).to_numpy() for c in ("terms", "counts"))  # arrays, not Python numbers: the driver is small
+    cuts = np.cumsum(pc.list_value_length(rows["terms"]).to_numpy())[:-1]
+    vectors = list(zip(np.split(hashes.view("uint64"), cuts), np.split(counts, cuts), strict=True))
     terms = np.unique(np.concatenate([h for h, _ in vectors]))
     if not len(terms):
         return ToxicityModel(None, 0.0, np.zeros(0), np.zeros(0))
