@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import shared_folder
+
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -17,17 +18,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 1000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a session within one machine may leave it unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="lociframe-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def small_batches(spark: SparkSession) -> None:
     """From now on, at most ``BATCH_ROWS`` rows go to a Python worker at once: texts may be long, and a batch is held whole on both sides."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -36,7 +26,7 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -67,3 +57,9 @@ BROADCAST_ROWS = 300_000
 def sent_if_small(stored: DataFrame) -> DataFrame:
     """A table of narrow rows, marked for broadcast if its count allows it; else Spark joins it by shuffle or splits what is skewed."""
     return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
+def row_hash(doc_id: int | None, text: str) -> int:
+    """Of an id and its text, as a signed 64-bit number: an order of rows that copies of a row share."""
+    x = xxhash.xxh64_intdigest(f"{doc_id}:".encode() + text.encode("utf-8", "surrogatepass"))
+    return x - (1 << 64) if x >> 63 else x

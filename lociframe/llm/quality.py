@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, text_or_empty
+from .common import row_hash, small_batches, table, text_or_empty
 from .toxicity import fold, isotonic, labelled_examples
 
 MAX_SAMPLE = 6000
@@ -190,10 +190,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: Column, max_samp
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(list(described(b.column(0).to_pylist())), pa.list_(pa.float64()))], ["x"])
+            texts = b.column(1).to_pylist()
+            h = [row_hash(i, t) for i, t in zip(b.column(0).to_pylist(), texts, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(list(described(texts)), pa.list_(pa.float64()))], ["h", "x"])
 
-    def sample(rows: DataFrame) -> np.ndarray:  # at most max_sample rows of numbers
-        found = rows.select("text").mapInArrow(measured, "x array<double>").toPandas()["x"]
+    def sample(rows: DataFrame) -> np.ndarray:
+        """Numbers of at most max_sample rows: an id may have any number of them."""
+        found = rows.select("doc_id", "text").mapInArrow(measured, "h long, x array<double>").orderBy("h").limit(max_sample).toPandas()["x"]
         return np.stack(found.to_numpy()) if len(found) else np.empty((0, N_FORM + PROFILE))
 
     ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(max_sample).distinct()

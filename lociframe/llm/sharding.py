@@ -1,15 +1,16 @@
 """Sharding by size-tiered compaction, in DataFrame functions only.
 
 A store is a folder of immutable Parquet shards and of manifests, one per version. A manifest is a table with a row per
-live shard, so it is read, joined and counted as one; no list of shards passes through the driver.
+live shard, so it is read, joined and counted as one; only the bounded list of shards of one merge passes through the driver.
 
 * ``append`` writes an arrival as it is partitioned, without a shuffle: each task's file is a small shard.
 * ``compact`` takes shards below half the target size, by the bytes of their files. A tier holds shards within a factor ``FAN``
   in size; of the shards of a tier, in hash slots of bounded length, those that follow each other up to the target size are a
   run. Runs that reach the target, or hold ``FAN`` shards, become one file each, written by a task of its own. Only rows that
   are merged are shuffled, and full shards are never written again.
-* A commit writes the next manifest under a name of its own, and then the file of its version, which only one writer can
-  make: a hard link on local disks, an exclusive creation elsewhere. So a reader sees a whole version or none. The writer that comes second
+* A commit writes the next manifest under a name of its own, and then the file of its version aside, which it names in one step that only one
+  writer can do: a hard link on local disks, a rename that does not overwrite elsewhere. So a reader sees a whole version or none, also where a writer
+  dies in between; what it wrote aside is no version. The writer that comes second
   starts again from the version that it lost to: an append adds its shards to it, a merge is dropped if its shards are gone.
 * ``vacuum`` removes data that no retained version names and that is older than a grace period, as other writers may be about to
   commit younger data. Nothing else deletes, and old versions stay readable until then.
@@ -25,6 +26,7 @@ import json
 import time
 import uuid
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -39,8 +41,8 @@ BASE_BYTES = 1 << 16
 SLOT = 10_000
 ARRIVALS = 4
 RETRIES = 20
-#: Plans of so many shards (some 20 MB) go to all executors; above that Spark joins by the shard.
-BROADCAST_SHARDS = 100_000
+#: A merge begins no run beyond so many shards; the next one goes on.
+PLANNED = 20_000
 MANIFEST = "shard string, part string, rows long, bytes long, version int"
 
 
@@ -50,30 +52,41 @@ class ShardStore:
 
     def _path(self, path: str):
         found = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
-        return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        store = found.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return store.makeQualified(found), store
 
     def _publish(self, version: int, said: str) -> bool:
-        """Makes the file of a version, unless it is there."""
+        """Makes the file of a version, unless it is there: written aside, and then named in one step that fails if the name is taken."""
         final, store = self._path(f"versions/v={version}")
-        local = store.getUri().getScheme() == "file"
-        made, _ = self._path(f"versions/_{uuid.uuid4().hex}") if local else (final, None)
+        aside, _ = self._path(f"versions/_{uuid.uuid4().hex}")
         store.mkdirs(final.getParent())
         try:
-            out = store.create(made, False)
+            out = store.create(aside, False)
             out.write(bytearray(said.encode()))
             out.close()
-            if local:
-                paths = self.spark._jvm.java.nio.file.Paths
-                self.spark._jvm.java.nio.file.Files.createLink(paths.get(final.toUri()), paths.get(made.toUri()))
+            self._name(store, aside, final)
         except Py4JJavaError as error:
-            if "AlreadyExists" in error.java_exception.getClass().getName():
+            if "AlreadyExists" in error.java_exception.toString():
                 return False
             raise
         finally:
-            if local:
-                store.delete(made, False)
+            store.delete(aside, False)
         return True
 
+    def _name(self, store, aside, final) -> None:
+        """A local disk renames over what is there, but does not link over it; elsewhere the file system's own rename without overwriting is one step."""
+        jvm = self.spark._jvm
+        if store.getUri().getScheme() == "file":
+            paths = jvm.java.nio.file.Paths
+            jvm.java.nio.file.Files.createLink(paths.get(final.toUri()), paths.get(aside.toUri()))
+        else:
+            self._rename(aside, final)
+
+    def _rename(self, aside, final) -> None:
+        jvm = self.spark._jvm
+        options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.toUri(), self.spark._jsc.hadoopConfiguration()).rename(aside, final, options)
+
     def versions(self) -> list[int]:
         path, store = self._path("versions")
         if not store.exists(path):
@@ -121,10 +134,9 @@ class ShardStore:
             store.delete(path, True)
         raise RuntimeError("other writers were always first")
 
-    def _rows(self, parts: list[str], schema: T.StructType) -> DataFrame:
-        """All rows in these folders, live or not, with the file that holds each: ``data/part=.../file``."""
-        reader = self.spark.read.schema(schema)
-        return reader.parquet(*[f"{self.root}/data/{p}" for p in parts]).withColumn("shard", F.col("_metadata.file_path"))
+    def _rows(self, paths: list[str], schema: T.StructType) -> DataFrame:
+        """All rows in these folders or files, live or not, with the file that holds each."""
+        return self.spark.read.schema(schema).parquet(*paths).withColumn("shard", F.col("_metadata.file_path"))
 
     def _listed(self, part: str, version: int) -> DataFrame:
         """The shards of a folder: one per file, by the path that Spark gives each row."""
@@ -140,7 +152,7 @@ class ShardStore:
         return self.commit(lambda live, version: live.union(self._listed(part, version)), rows.schema)
 
     def plan(self) -> DataFrame:
-        """(shard, part, merged): shards to merge and the number of the file that they go to."""
+        """(shard, merged): shards to merge and the number of the file that they go to; runs as they begin within ``PLANNED`` shards, the others next time."""
         small = self.manifest().where(F.col("bytes") < self.target / 2)
         tier = F.floor(F.log(float(self.fan), F.greatest(F.col("bytes"), F.lit(BASE_BYTES)) / BASE_BYTES))
         slots = F.ceil(F.count("*").over(Window.partitionBy("tier")) / SLOT)
@@ -150,22 +162,22 @@ class ShardStore:
         run = Window.partitionBy("tier", "slot", "run")
         full = (F.count("*").over(run) >= self.fan) | (F.sum("bytes").over(run) >= self.target)
         chosen = cut(placed.withColumn("full", full).where("full").select("shard", "part", "tier", "slot", "run"), "plan")
-        runs = chosen.select("tier", "slot", "run").distinct()
-        runs = runs.withColumn("merged", F.row_number().over(Window.orderBy("tier", "slot", "run")) - 1)  # a row per file to write
-        return cut(chosen.join(runs, ["tier", "slot", "run"]).select("shard", "part", "merged"), "plan")
+        runs = chosen.groupBy("tier", "slot", "run").agg(F.count("*").alias("shards"))
+        order = Window.orderBy("tier", "slot", "run")  # a row per file to write
+        before = F.coalesce(F.sum("shards").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        runs = runs.withColumn("merged", F.row_number().over(order) - 1).withColumn("before", before).where(F.col("before") < PLANNED).drop("shards", "before")
+        return cut(chosen.join(runs, ["tier", "slot", "run"]).select("shard", "merged"), "plan")
 
     def compact(self) -> int:
         """Merges until no run is full; returns the version."""
         while True:
             plan = self.plan()
-            parts = [r["part"] for r in plan.select("part").distinct().collect()]  # folders of live arrivals
-            if not parts:
+            files = plan.collect()  # fewer than PLANNED + SLOT paths: the files of this merge, and no others, are read
+            if not files:
                 return max([0, *self.versions()])
-            part, schema = uuid.uuid4().hex, self.schema()
-            number, shards = plan.agg(F.max("merged"), F.count("*")).first()
-            chosen = plan.select("shard", "merged")
-            moved = self._rows(parts, schema).join(F.broadcast(chosen) if shards <= BROADCAST_SHARDS else chosen, "shard")
-            moved.repartitionById(number + 1, F.col("merged").cast("int")).drop("shard", "merged").write.parquet(f"{self.root}/data/{part}")
+            part, schema, shards = uuid.uuid4().hex, self.schema(), len(files)
+            moved = self._rows([unquote(r["shard"]) for r in files], schema).join(F.broadcast(plan), "shard")
+            moved.repartitionById(1 + max(r["merged"] for r in files), F.col("merged").cast("int")).drop("shard", "merged").write.parquet(f"{self.root}/data/{part}")
 
             def merged(live: DataFrame, version: int, part: str = part, plan: DataFrame = plan, shards: int = shards) -> DataFrame | None:
                 if live.join(plan.select("shard"), "shard", "left_semi").count() < shards:
@@ -195,7 +207,7 @@ class ShardStore:
         """All live rows with their shard."""
         shards, schema = self.manifest(version), self.schema(version)
         parts = [r["part"] for r in shards.select("part").distinct().collect()]
-        rows = self._rows(parts, schema) if parts else self.spark.createDataFrame([], schema.add("shard", "string") if "shard" not in schema.names else schema)
+        rows = self._rows([f"{self.root}/data/{p}" for p in parts], schema) if parts else self.spark.createDataFrame([], schema.add("shard", "string") if "shard" not in schema.names else schema)
         return rows.join(shards.select("shard", "rows", "bytes", "version"), "shard")
 
 

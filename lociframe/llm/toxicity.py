@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches, table, tasks, text_or_empty
@@ -271,6 +271,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, max_examples
     chosen = cut(chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "y"), "chosen")
     examples = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")  # at most 2 * max_examples ids
     found = cut(examples.mapInArrow(_vectors, "doc_id long, y int, terms array<long>, counts array<long>"), "examples")
+    if found.count() > 2 * max_examples:  # an id may have any number of rows
+        first = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id", "terms", "counts")))
+        found = cut(found.withColumn("at", first).where(F.col("at") <= max_examples).drop("at"), "examples")
     rows = found.orderBy("doc_id", "terms", "counts").toArrow().combine_chunks()
     labels_of, ids = rows["y"].to_numpy().astype("int64"), rows["doc_id"].to_numpy()
     if not labels_of.sum():

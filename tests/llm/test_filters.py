@@ -394,3 +394,98 @@ def test_exact_dedup_stage_tells_rows_by_id_and_text(spark):
         left = corpus_pipeline.exact_dedup(spark, docs, "")
         assert left.columns == docs.columns
         assert sorted(((r["doc_id"], (r["text"] or "").lower()) for r in left.collect()), key=repr) == sorted([(9, "unique text"), (12, "same words"), (None, "nameless"), (4, "")], key=repr)
+
+
+def test_fits_hold_bounded_rows_of_one_id(spark, monkeypatch):
+    """Half of all rows share an id; each fit gets as many rows as its parameter says, not as many as the id has."""
+    n = 6000
+    text = F.concat(F.lit("card 4111 1111 1111 1111 mail a@b.co call +1 (555) 010-0199 or 4111 1111 1111 1112 row "), F.col("id").cast("string"))
+    docs = spark.range(n).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") + 100).cast("long").alias("doc_id"), text.alias("text"))
+    labels = spark.createDataFrame([(7, 1, 1), (101, 1, 0), (103, 0, 1)], "doc_id long, quality int, toxic int")
+    seen = {}
+
+    def kept(name, result):
+        def fit(*arrays):
+            seen[name] = [len(a) for a in arrays]
+            return result
+
+        return fit
+
+    monkeypatch.setattr(quality, "fit", kept("quality", None))
+    quality.fit_quality(docs, labels, F.lit(True), max_sample=50)
+    assert seen["quality"] == [50, 50]
+    monkeypatch.setattr(pii, "fit", kept("pii", None))
+    pii.fit_pii(docs, max_documents=40, max_candidates=3)
+    assert seen["pii"] == [120, 120]
+    model = toxicity.fit_toxicity(docs, labels, F.lit(True), max_examples=30)
+    assert len(model.index.ids) <= 60
+
+
+def test_lookalikes_are_left_alone(spark):
+    """Formats that pass no check in training are not added; those that the base patterns miss are."""
+    rng = random.Random(3)
+    digits = lambda k: "".join(rng.choices("0123456789", k=k))
+
+    def card(good, separator=" "):
+        head = "4" + digits(14)
+        last = next(c for c in "0123456789" if pii.luhn(head + c))
+        x = head + (last if good else str((int(last) + 1 + rng.randrange(9)) % 10))
+        x = x if pii.luhn(x) == good else head + (last if good else str((int(last) + 1) % 10))
+        return separator.join(x[i : i + 4] for i in range(0, 16, 4))
+
+    texts = []
+    for i in range(700):
+        texts.append((i, f"call +{1 + i % 9} ({digits(3)}) {digits(3)}-{digits(4)} or pay by card {card(True)} now"))
+        texts.append((1000 + i, f"{'order' if i % 2 else 'pay by card'} {card(False)} of {'release' if i % 3 else 'call'} +{digits(2)}.{digits(2)} at host {300 + i % 600}.{digits(3)}.{digits(2)}.1 done"))
+        texts.append((2000 + i, f"host {i % 256}.{rng.randrange(256)}.{rng.randrange(256)}.9 or mail ann{i}@mail.example.com for more"))
+    planted = {5000: "call (017) 555-7713 today", 5001: "call 017-555-7714 today", 5002: "mail ann (at) example (dot) com today", 5003: f"pay by card {card(True, '. ')} now"}
+    clean = {6000 + k: f"order {card(False)} of lot {digits(3)}" for k in range(60)} | {7000: "call +12.34 off", 7001: "version 999.1.2.3 out"}
+    docs = documents(spark, [*texts, *planted.items(), *clean.items()])
+    spans = {r["row"]["doc_id"]: r["spans"] for r in pii.find_pii(docs, pii.fit_pii(docs)).collect()}
+    assert [i for i in planted if not spans[i]] == []
+    assert [i for i in clean if spans[i]] == []
+
+
+def test_a_store_that_renames(spark, tmp_path, monkeypatch):
+    """Where no hard links are, versions are named by a rename that does not overwrite; a writer that dies before it leaves no version."""
+    monkeypatch.setattr(sharding.ShardStore, "_name", lambda self, store, aside, final: self._rename(aside, final))
+    root = f"{tmp_path}/store"
+    store = sharding.ShardStore(spark, root, fan=2)
+    for i in range(3):
+        store.append(documents(spark, [(i, f"text {i}")]))
+    assert not store._publish(2, "{}") and store.versions() == [1, 2, 3]
+
+    def dies(self, aside, final):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(sharding.ShardStore, "_rename", dies)
+        m.setattr(sharding.ShardStore, "_publish", sharding.ShardStore._publish)
+        with pytest.raises(KeyboardInterrupt):
+            store.append(documents(spark, [(9, "lost")]))
+    assert store.versions() == [1, 2, 3] and store.read().count() == 3
+    store.compact()
+    assert sorted(r["doc_id"] for r in store.read().collect()) == [0, 1, 2]
+
+
+def test_merges_read_planned_files_only(spark, tmp_path, monkeypatch):
+    docs = documents(spark, [(i, "text " * 50) for i in range(40)])
+    store, read = sharding.ShardStore(spark, str(tmp_path / "a store"), fan=2), []
+    store.append(docs.repartition(8))
+    rows_of = sharding.ShardStore._rows
+    monkeypatch.setattr(sharding.ShardStore, "_rows", lambda self, paths, schema: (read.append(list(paths)), rows_of(self, paths, schema))[1])
+    monkeypatch.setattr(sharding, "PLANNED", 1)
+    store.compact()
+    assert read and all(p.endswith(".parquet") for paths in read for p in paths)
+    assert len(set(sum(read, []))) == len(sum(read, []))  # no file is read twice
+    assert rows(store.read(), "doc_id", "text") == rows(docs, "doc_id", "text")
+
+
+def test_shards_of_the_query(spark, small):
+    """shard_rows and shard_bytes are those of the files; few are left of many arrivals."""
+    got = sharding.op5_sharding(spark, small).collect()
+    by = {}
+    for r in got:
+        by.setdefault((r["shard"], r["shard_rows"], r["shard_bytes"], r["version"]), []).append(r)
+    assert len({k[0] for k in by}) == len(by) and all(len(v) == k[1] and k[2] > 0 for k, v in by.items())
+    assert sum(r["n_bytes"] for r in got) == spark.read.parquet(f"{small}/documents.parquet").agg(F.sum(F.octet_length("text"))).first()[0]
