@@ -10,14 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names. Only a session within one machine may leave it unset."""
+    """The folder that ``spark.checkpoint.dir`` names, with its scheme. Only a session within one machine may leave it unset.
+
+    A path without a scheme is one of the cluster's default file system, for Spark and for every other reader and writer.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="lociframe-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    qualified = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", qualified).rstrip("/")
 
 
 def stored(df: DataFrame) -> DataFrame:
