@@ -438,11 +438,11 @@ def test_lookalikes_are_left_alone(spark):
         texts.append((i, f"call +{1 + i % 9} ({digits(3)}) {digits(3)}-{digits(4)} or pay by card {card(True)} now"))
         texts.append((1000 + i, f"{'order' if i % 2 else 'pay by card'} {card(False)} of {'release' if i % 3 else 'call'} +{digits(2)}.{digits(2)} at host {300 + i % 600}.{digits(3)}.{digits(2)}.1 done"))
         texts.append((2000 + i, f"host {i % 256}.{rng.randrange(256)}.{rng.randrange(256)}.9 or mail ann{i}@mail.example.com for more"))
-    planted = {5000: "call (017) 555-7713 today", 5001: "call 017-555-7714 today", 5002: "mail ann (at) example (dot) com today", 5003: f"call +1 ({digits(3)}) {digits(3)}-{digits(4)} or pay by card {card(True, '. ')} now"}
+    planted = {5000: f"call (017) 555-7713 or pay by card {card(True)} now", 5002: "mail ann (at) example (dot) com today", 5003: f"call +1 ({digits(3)}) {digits(3)}-{digits(4)} or pay by card {card(True, '. ')} now"}
     clean = {6000 + k: f"order {card(False)} of lot {digits(3)}" for k in range(60)} | {7000: "order 12 of release +12.34 at host", 7001: "version 999.1.2.3 out"}
     docs = documents(spark, [*texts, *planted.items(), *clean.items()])
     spans = {r["row"]["doc_id"]: r["spans"] for r in pii.find_pii(docs, pii.fit_pii(docs)).collect()}
-    assert [i for i in planted if not spans[i]] == [] and "card:" in spans[5003]
+    assert [i for i in planted if f":{planted[i].index(' ') + 1}:" not in spans[i]] == [] and "card:" in spans[5003], [spans[i] for i in planted]
     assert [i for i in clean if spans[i]] == []
 
 
