@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.storage import stored
+from .prefix import CHUNK, by_position
 from .sequences import in_spans
 
 
@@ -40,42 +42,125 @@ def admixture_states(calls: DataFrame, admixed: Iterable[int], *populations: Ite
     return rows.select("chrom", "pos", "ind", *[value(both(F.col(f"f{i}"), F.col(f"f{j}"))).alias(f"s{n}") for n, (i, j) in enumerate(pairs, 1)])
 
 
-def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
-    """States (0, 1, ...) with the largest sum of scores less ``penalty`` per change; ties keep the state, then the lower one."""
+def forward(scores: np.ndarray, penalty: float, best: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Best sums at the last row by state, and for each row the state before it. ``best``: sums in front of the first row; None: nothing is there.
+
+    ``best`` may be several vectors, a row each; then the sums are rows too. Ties keep the state, and then the lower one.
+    """
     n, k = scores.shape
-    back, best = np.zeros((n, k), "int64"), scores[0].copy()
-    for i in range(1, n):
-        top = int(best.argmax())
-        move = best[top] - penalty
-        back[i] = np.where(best >= move, np.arange(k), top)
+    several = best is not None and best.ndim == 2
+    back = np.zeros((0 if several else n, k), "int64")
+    for i in range(n):
+        if best is None:
+            best, back[i] = scores[0].copy(), np.arange(k)
+            continue
+        move = best.max(axis=-1, keepdims=True) - penalty
+        if not several:
+            back[i] = np.where(best >= move, np.arange(k), int(best.argmax()))
         best = np.maximum(best, move) + scores[i]
-    state = np.zeros(n, "int64")
+    return best, back
+
+
+def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
+    """States (0, 1, ...) with the largest sum of scores less ``penalty`` per change."""
+    best, back = forward(scores, penalty)
+    state = np.zeros(len(scores), "int64")
     state[-1] = best.argmax()
-    for i in range(n - 1, 0, -1):
+    for i in range(len(scores) - 1, 0, -1):
         state[i - 1] = back[i, state[i]]
     return state
 
 
-def admixture_path(states: DataFrame, penalty: float, heterochromatin: DataFrame | None = None) -> DataFrame:
-    """Intervals of constant state of each individual and chromosome. Sites in ``heterochromatin`` (chrom, start, end) have state 0."""
+def _intervals(pos: np.ndarray, state: np.ndarray) -> list[dict]:
+    first = np.flatnonzero(np.r_[True, state[1:] != state[:-1]])
+    last = np.r_[first[1:], len(state)] - 1
+    return [{"start": int(pos[a]), "end": int(pos[b]) + 1, "state": int(state[a])} for a, b in zip(first, last, strict=True)]
+
+
+INTERVALS = "array<struct<start: long, end: long, state: long>>"
+
+
+def admixture_path(states: DataFrame, penalty: float, heterochromatin: DataFrame | None = None, width: int = CHUNK) -> DataFrame:
+    """Intervals of constant state of each individual and chromosome. Sites in ``heterochromatin`` (chrom, start, end) have state 0.
+
+    No group holds more than a chunk of ``width`` positions. 1. A chunk's sites become a matrix: the best sum from each state in front of it to each
+    state at its end. 2. An individual's matrices of a chromosome, k x k numbers a chunk, are applied one behind the other, which gives the sums in front of each chunk.
+    3. With these, a chunk finds its best path for each state it may end in: where that begins, and its intervals.
+    4. From the best last state the chunks' ends are followed back, each chunk gives the intervals of its path, and intervals that meet at a border in one state are joined.
+    """
     names = [c for c in states.columns if c[0] == "s" and c[1:].isdigit()]
+    k = len(names)
     if heterochromatin is None:
         rows = states.withColumn("dark", F.lit(False))
     else:
         dark = in_spans(states.select("chrom", "pos").distinct(), heterochromatin).select("chrom", "pos", F.lit(True).alias("in_dark")).distinct()
         rows = states.join(dark, ["chrom", "pos"], "left").withColumn("dark", F.coalesce("in_dark", F.lit(False)))
-
-    def walk(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
+    rows = stored(rows.select("chrom", "ind", "pos", "dark", *names).withColumn("chunk", by_position(width)))
+    keys = "chrom long, ind long, chunk long"
+
+    def matrix(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
+        scores = t[~t["dark"]].sort_values("pos")[names].to_numpy()
+        if not len(scores):
+            return pd.DataFrame({"chrom": [key[0]], "ind": [key[1]], "chunk": [key[2]], "alone": [None], "through": [None]})
+        apart = np.where(np.eye(k, dtype=bool), 0.0, -np.inf)
+        return pd.DataFrame({"chrom": [key[0]], "ind": [key[1]], "chunk": [key[2]], "alone": [forward(scores, penalty)[0]], "through": [forward(scores, penalty, apart)[0].ravel()]})
+
+    def apply_matrices(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
+        ahead, best = [], None
+        t = t.sort_values("chunk")
+        for alone, through in zip(t["alone"], t["through"], strict=True):
+            ahead.append(best)
+            if alone is not None:
+                best = np.asarray(alone) if best is None else (best[:, None] + np.asarray(through).reshape(k, k)).max(axis=0)
+        return pd.DataFrame({"chrom": key[0], "ind": key[1], "chunk": t["chunk"], "best": ahead})
+
+    def paths(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
         t = t.sort_values("pos")
-        pos, open_ = t["pos"].to_numpy(), ~t["dark"].to_numpy(bool)
-        state = np.zeros(len(t), "int64")
-        if open_.any():
-            state[open_] = best_path(t.loc[open_, names].to_numpy(), penalty) + 1
-        first = np.flatnonzero(np.r_[True, state[1:] != state[:-1]])
-        last = np.r_[first[1:], len(state)] - 1
-        return pd.DataFrame({"chrom": key[0], "ind": key[1], "start": pos[first], "end": pos[last] + 1, "state": state[first]})
-
-    return rows.groupBy("chrom", "ind").applyInPandas(walk, "chrom long, ind long, start long, end long, state long")
+        pos, open_, best = t["pos"].to_numpy(), ~t["dark"].to_numpy(bool), t["best"].iloc[0]
+        end, back = forward(t.loc[open_, names].to_numpy(), penalty, None if best is None else np.asarray(best)) if open_.any() else (None, np.zeros((0, k), "int64"))
+        path = np.zeros((len(back) + 1, k), "int64")  # for each state at the end, the states from the one in front of the chunk on
+        path[-1] = np.arange(k)
+        for i in range(len(back) - 1, -1, -1):
+            path[i] = back[i, path[i + 1]]
+        out = []
+        for b in range(k):
+            state = np.zeros(len(pos), "int64")
+            state[open_] = path[1:, b] + 1
+            out.append((*key, b, int(path[0, b]), None if end is None else float(end[b]), _intervals(pos, state)))
+        return pd.DataFrame(out, columns=["chrom", "ind", "chunk", "last", "first", "total", "intervals"])
+
+    def follow_back(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
+        chunks, ends, state = sorted(t["chunk"].unique(), reverse=True), [], None
+        maps = {c: p.sort_values("last") for c, p in t.groupby("chunk")}
+        for c in chunks:
+            totals = maps[c]["total"].to_numpy(float)
+            if state is None and not np.isnan(totals).all():
+                state = int(totals.argmax())  # the last chunk with an open site
+            ends.append((*key, c, state or 0))
+            if state is not None:
+                state = int(maps[c]["first"].iloc[state])
+        return pd.DataFrame(ends, columns=["chrom", "ind", "chunk", "last"])
+
+    ahead = rows.groupBy("chrom", "ind", "chunk").applyInPandas(matrix, f"{keys}, alone array<double>, through array<double>")
+    ahead = ahead.groupBy("chrom", "ind").applyInPandas(apply_matrices, f"{keys}, best array<double>")
+    found = rows.join(ahead, ["chrom", "ind", "chunk"]).groupBy("chrom", "ind", "chunk").applyInPandas(paths, f"{keys}, last long, first long, total double, intervals {INTERVALS}")
+    found = stored(found)
+    ends = found.drop("intervals").groupBy("chrom", "ind").applyInPandas(follow_back, f"{keys}, last long")
+    return _joined(found.join(ends, ["chrom", "ind", "chunk", "last"]).select("chrom", "ind", "chunk", "intervals"))
+
+
+def _joined(chunks: DataFrame) -> DataFrame:
+    """(chrom, ind, chunk, intervals) -> intervals, those that meet at a border in one state made one.
+
+    Inner intervals stay as they are. Only a chunk's first and last one, or the only one, are put in order by individual and chromosome.
+    """
+    rows = chunks.select("chrom", "ind", "chunk", F.size("intervals").alias("n"), F.posexplode("intervals").alias("at", "v")).select("chrom", "ind", "chunk", "n", "at", "v.*")
+    edge = (F.col("at") == 0) | (F.col("at") == F.col("n") - 1)
+    along = Window.partitionBy("chrom", "ind").orderBy("start")
+    before, chunk_before = F.lag("state").over(along), F.lag("chunk").over(along)
+    turns = rows.where(edge).withColumn("new", F.when((before == F.col("state")) & (chunk_before != F.col("chunk")), 0).otherwise(1))
+    merged = turns.withColumn("part", F.sum("new").over(along)).groupBy("chrom", "ind", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("state").alias("state"))
+    return rows.where(~edge).select("chrom", "ind", "start", "end", "state").union(merged.select("chrom", "ind", "start", "end", "state"))
 
 
 def extended(path: DataFrame, lengths: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def fold_of(folds: int, seed: int = 1) -> Column:
 
 def first_shares(individuals: list[int], k: int) -> np.ndarray:
     """Uneven shares to start from, by the individual's number."""
-    weights = np.array([[500 + (i * 7919 + (a + 1) * 104_729 + 13) % 1000 for a in range(k)] for i in individuals], float)
+    weights = np.array([[500 + (i * 7919 + (a + 1) * 104_729 + 13) % 1000 for a in range(k)] for i in individuals], float).reshape(len(individuals), k)
     return weights / weights.sum(axis=1, keepdims=True)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.storage import stored
 from ..functions.tails import binomial_tails, hypergeometric_tails
+from .prefix import ranked
 
 #: Categories that say nothing.
 NO_CATEGORY = ("", "U", "N")
@@ -43,8 +44,8 @@ def enrichment(membership: DataFrame, listed: DataFrame, test: str) -> DataFrame
 def enrichment_report(rows: DataFrame) -> DataFrame:
     """Count, representation, rank and both probabilities of each category, from the most represented on; ties by count, probabilities and name."""
     order = [F.desc(c) for c in ("representation", "k", "p_low", "p_high", "cat")]
-    ranked = rows.withColumn("rank", F.rank().over(Window.orderBy(F.desc("representation"))))  # a row per category
-    return ranked.select(F.col("k").alias("count"), "representation", "rank", "p_low", "p_high", "cat").orderBy(*order)
+    told = ranked(rows, "rank", "standard", (F.col("representation"), True))
+    return told.select(F.col("k").alias("count"), "representation", "rank", "p_low", "p_high", "cat").orderBy(*order)
 
 
 def cooccurrence(membership: DataFrame) -> DataFrame:

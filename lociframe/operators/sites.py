@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .prefix import CHUNK, by_position
+
 SITE = ["site", "chrom", "pos"]
 
 
@@ -43,24 +46,56 @@ def filter_defined(calls: DataFrame, individuals: Iterable[int], least: int) ->
     return calls.where(among(individuals)).groupBy(*SITE).agg(F.count_if(F.col("g") != -1).alias("defined")).where(F.col("defined") >= least)
 
 
-def filter_spacing(sites: DataFrame, spacing: int) -> DataFrame:
-    """Greedy along a chromosome: a site stays if it is at least ``spacing`` behind the last one that stayed.
+def _followers(pos: np.ndarray, spacing: int) -> np.ndarray:
+    """Of each site in order, the place of the first one at ``spacing`` or more behind it; their number where there is none."""
+    return np.searchsorted(pos, pos + spacing, "left")
 
-    Which site follows one that stays does not depend on what came before: it is the first at ``spacing`` or more behind. A
-    chromosome is one sorted pass with one number of state, and only positions travel to it.
-    """
 
-    def scan(t: pd.DataFrame) -> pd.DataFrame:
-        kept, last = [], None
+def filter_spacing(sites: DataFrame, spacing: int, width: int = CHUNK) -> DataFrame:
+    """Greedy along a chromosome: a site stays if it is at least ``spacing`` behind the last one that stayed; of sites at one position, the first.
+
+    Which site follows one that stays does not depend on what came before. So a chunk of ``width`` positions is a step function: from the position at
+    which a site may stay again, to the last site that stays in it. Walks that begin at different sites soon
+    meet, so there are few steps. The steps of a chromosome's chunks, not its sites, are followed in one
+    group; that tells each chunk where to begin, and chunks then mark their sites on their own.
+    """
+    rows = sites.select(*SITE).withColumn("chunk", by_position(width))
+    if spacing <= 0:
+        return rows.drop("chunk")
+
+    def steps(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
+        pos = np.unique(t["pos"].to_numpy())
+        last, follow = np.arange(len(pos)), _followers(pos, spacing)
+        for i in range(len(pos) - 1, -1, -1):
+            if follow[i] < len(pos):
+                last[i] = last[follow[i]]
+        upto = np.flatnonzero(np.append(last[1:] != last[:-1], True))  # the last beginning that ends at the same site
+        return pd.DataFrame({"chrom": key[0], "chunk": key[1], "upto": pos[upto], "last": pos[last[upto]]})
+
+    def follow_chunks(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
+        out, free = [], None
+        for chunk, part in t.sort_values(["chunk", "upto"]).groupby("chunk"):
+            out.append((key[0], chunk, free))
+            upto, last = part["upto"].to_numpy(), part["last"].to_numpy()
+            at = 0 if free is None else int(np.searchsorted(upto, free, "left"))
+            if at < len(upto):
+                free = int(last[at]) + spacing
+        return pd.DataFrame(out, columns=["chrom", "chunk", "free"]).astype({"free": "Int64"})
+
+    def mark_sites(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
         t = t.sort_values(["pos", "site"])
-        for i, p in enumerate(t["pos"].tolist()):
-            if last is None or p - last >= spacing:
-                kept.append(i)
-                last = p
-        return t.iloc[kept]
-
-    rows = sites.select(*SITE)
-    return rows.groupBy("chrom").applyInPandas(scan, rows.schema)
+        pos = t["pos"].to_numpy()
+        follow, kept = _followers(pos, spacing), []
+        i = 0 if pd.isna(t["free"].iloc[0]) else int(np.searchsorted(pos, t["free"].iloc[0], "left"))
+        while i < len(pos):
+            kept.append(i)
+            i = int(follow[i])
+        return t.iloc[kept][SITE]
+
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    summary = rows.groupBy("chrom", "chunk").applyInPandas(steps, f"chrom {kind['chrom']}, chunk long, upto long, last long")
+    begins = summary.groupBy("chrom").applyInPandas(follow_chunks, f"chrom {kind['chrom']}, chunk long, free long")
+    return rows.join(begins, ["chrom", "chunk"]).groupBy("chrom", "chunk").applyInPandas(mark_sites, sites.select(*SITE).schema)
 
 
 def aggregate_population(calls: DataFrame, individuals: Iterable[int]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.nucleotides import genotype_base
 from ..functions.text_rules import bound_value, chromosome_key, codes_of, is_identifier, underscored
 from ..operators import annotation, enrichment, graphs, populations, sequences
+from ..operators.prefix import numbered
 from .catalog import query
 from .ordered_queries import HYPER, COUNTS, SHOWN, enrich_hypergeom
 from .site_queries import B_BASE, COVARIANCE, WITH, base, rounded
@@ -133,12 +134,10 @@ def allele_codes(spark: SparkSession, d: str) -> DataFrame:
     SELECT k, chrom, CAST(row_number() OVER (ORDER BY ltrim(chrom, 'chr'), pos, k) AS BIGINT) AS place FROM c WHERE ltrim(chrom, 'chr') = '7' OR k % 50 = 0""")
 def site_order(spark: SparkSession, d: str) -> DataFrame:
     """Places of sites in the order of chromosome names without c, h and r before them, and positions."""
-    from pyspark.sql import Window
-
     k = F.col("p_partkey")
     chrom = F.concat(F.when(k % 3 == 0, "chr").when(k % 3 == 1, "r").otherwise(""), F.col("p_size").cast("string"))
     rows = load(spark, d, "part").select(k.alias("k"), chrom.alias("chrom"), F.col("p_retailprice").cast("decimal(18,0)").cast("long").alias("pos")).withColumn("key", chromosome_key(F.col("chrom"))).where("key = '7' OR k % 50 = 0")
-    return rows.select("k", "chrom", F.row_number().over(Window.orderBy("key", "pos", "k")).cast("long").alias("place"))
+    return numbered(rows, "at", F.asc("key"), F.asc("pos"), F.asc("k")).select("k", "chrom", (F.col("at") + 1).alias("place"))
 
 
 @query("""WITH t AS (SELECT p_partkey AS k, p_name AS name, CASE p_partkey % 4 WHEN 0 THEN p_size || '%' WHEN 1 THEN p_size * 3 || '%' WHEN 2 THEN p_size::VARCHAR ELSE p_name END AS bound, 'p' || p_size || '=' || p_brand || '.q' || p_partkey AS codes FROM part)
