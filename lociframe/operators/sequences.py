@@ -7,18 +7,40 @@ from pyspark.sql import functions as F
 
 from ..functions.nucleotides import consensus
 
-BIN = 4096
+#: Positions in a bin of the lowest level, how many bins make one of the next, and how many levels there are: 4096 * 16^5 positions are beyond any chromosome.
+BIN, FAN, LEVELS = 4096, 16, 6
+
+
+def in_bins(spans: DataFrame, width: int = BIN, fan: int = FAN, levels: int = LEVELS) -> DataFrame:
+    """Spans (start, end; both included) with ``level`` and ``bin``, a row for each bin of their cover.
+
+    A span longer than ``fan`` bins of a level is covered by bins of the next one, but for what sticks out on either side: fewer than ``2 * fan`` bins
+    a level, whatever its length.
+    """
+    rows, cover = spans.withColumn("low_", F.floor(F.col("start") / width)).withColumn("high_", F.floor(F.col("end") / width)), []
+    struct = lambda level, a, b: F.transform(F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<long>")), lambda x: F.struct(F.lit(level).alias("level"), x.alias("bin")))
+    for level in range(levels):
+        low, high = F.col("low_"), F.col("high_")
+        up, down = F.ceil(low / fan), F.floor((high + 1) / fan) - 1
+        few = (high - low < fan) if level < levels - 1 else F.lit(True)
+        rows = rows.withColumn(f"whole{level}_", struct(level, low, F.when(few, high).otherwise(up * fan - 1)))
+        rows = rows.withColumn(f"rest{level}_", F.when(few, F.array().cast("array<struct<level:int,bin:bigint>>")).otherwise(struct(level, (down + 1) * fan, high)))
+        cover += [f"whole{level}_", f"rest{level}_"]
+        rows = rows.withColumns({"low_": F.when(few, 1).otherwise(up), "high_": F.when(few, 0).otherwise(down)})
+    return rows.withColumn("cover_", F.explode(F.concat(*cover))).drop("low_", "high_", *cover).select("*", "cover_.*").drop("cover_")
 
 
 def in_spans(sites: DataFrame, spans: DataFrame, width: int = BIN) -> DataFrame:
     """Sites (chrom, pos) within spans (chrom, start, end; both ends included).
 
-    Both sides get a bin of ``width`` positions (a span all it touches), so this is an equi-join whose keys are even; a pair
-    meets in one bin only, the site's.
+    Spans get the bins of their cover, sites one bin of each level that occurs among spans, so this is an equi-join whose keys are even; the bins of
+    a cover do not overlap, so a pair meets once.
     """
-    binned = spans.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))))
-    keyed = sites.withColumn("bin", F.floor(F.col("pos") / width))
-    return keyed.join(binned, ["chrom", "bin"]).where(F.col("pos").between(F.col("start"), F.col("end"))).drop("bin")
+    binned = in_bins(spans.where("start <= end"), width)
+    present = sorted(r["level"] for r in binned.select("level").distinct().collect())  # at most LEVELS
+    at = [F.struct(F.lit(level).alias("level"), F.floor(F.col("pos") / (width * FAN**level)).alias("bin")) for level in present]
+    keyed = sites.withColumn("cover_", F.explode(F.array(*at) if at else F.array().cast("array<struct<level:int,bin:bigint>>"))).select("*", "cover_.*").drop("cover_")
+    return keyed.join(binned, ["chrom", "level", "bin"]).where(F.col("pos").between(F.col("start"), F.col("end"))).drop("level", "bin")
 
 
 def trimmed_exons(genes: DataFrame) -> DataFrame:

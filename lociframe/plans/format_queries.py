@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.storage import shared_folder
-from ..sources import readers, writers
+from ..sources import lines, readers, variant_source, writers
 from .catalog import query
 from .site_queries import WITH
 from .views import RUNS, calls, runs
@@ -62,3 +62,41 @@ def eigenstrat_round_trip(spark: SparkSession, d: str) -> DataFrame:
     genotypes = readers.text_lines(spark, written(lines, "geno"))
     site = F.regexp_extract("value", r"^ *snp([0-9]+)", 1).cast("long").alias("site")
     return readers.text_lines(spark, written(names, "snp")).select("line", site).join(genotypes.select("line", F.col("value").alias("genotypes")), "line").select("site", "genotypes")
+
+
+def made_table(spark: SparkSession, d: str) -> str:
+    """Lines without a header become a table: its columns are picked from theirs, and its path is given."""
+    cells = [F.coalesce(F.max(F.when(F.col("ind") == i, F.col(c))), F.lit(-1 if c == "g" else 0)).cast("string").alias(f"{c}{i}") for i in range(8) for c in "abgq"]
+    rows = calls(spark, d).groupBy("site", "chrom", "pos").agg(*cells)
+    site = ["'x'", "concat('c', chrom)", "pos", "'A'", "'C'", "site"]
+    raw = rows.selectExpr(f"concat_ws('\t', {', '.join(site)}, {', '.join(f'{c}{i}' for i in range(8) for c in 'abgq')}) AS value")
+    meta = lines.table_metadata(["chr", "pos", "A", "B", "site"], [f"i{i}" for i in range(8)], 4, 1, 2, 1, 2, "view", "x")
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    writers.write_table(lines.build_table(spark, written(raw, "raw"), meta, [2, 3, 4, 5, 6, *range(7, 39)]), path, meta)
+    return path
+
+
+@query(f"""{WITH}, s AS (SELECT DISTINCT site, chrom, pos FROM calls), i AS (SELECT unnest(range(8)) AS ind)
+    SELECT 'c' || s.chrom AS chrom, s.pos, 'i' || i.ind AS ind, coalesce(a, 0) AS a, coalesce(b, 0) AS b, coalesce(g, -1) AS g, coalesce(q, 0) AS q FROM s CROSS JOIN i LEFT JOIN calls c ON c.site = s.site AND c.ind = i.ind""")
+def made_table_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """A table built from picked columns, read back as calls."""
+    table, _ = readers.variant_table(spark, made_table(spark, d))
+    return readers.long_calls(table).select(F.col("scaffold").alias("chrom"), "pos", "ind", "a", "b", F.coalesce("g", F.lit(-1)).alias("g"), "q")
+
+
+@query(f"""{WITH}, s AS (SELECT DISTINCT site, chrom, pos FROM calls)
+    SELECT 'c' || s.chrom AS chr, s.pos, s.site::VARCHAR AS site, coalesce(c.a, 0) AS "3A", coalesce(c.g, -1) AS "3G" FROM s LEFT JOIN calls c ON c.site = s.site AND c.ind = 2""")
+def variant_source_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The same through the data source, of which five columns are asked for."""
+    return variant_source.read_variants(spark, made_table(spark, d), ["chr", "pos", "site", "3A", "3G"])
+
+
+@query(f"WITH {RUNS} SELECT chrom, pos, score FROM runs WHERE chrom < 5")
+def numbered_lines_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that tell their own place: those whose number in their file is not what a second way of counting gives would be missing."""
+    rows = runs(spark, d).where("chrom < 5").select("chrom", "pos", "score")
+    path = written(rows.select(F.concat_ws("\t", "chrom", "pos", "score").alias("value")), "numbered")
+    told = lines.numbered_lines(spark, path)
+    whole = told.groupBy("file").agg(F.min("line").alias("first"), F.max("line").alias("last"), F.count_distinct("line").alias("n")).where("first = 1 AND last = n").select("file")
+    at = lambda i: F.split("value", "\t")[i].cast("long")
+    return told.join(whole, "file", "left_semi").select(at(0).alias("chrom"), at(1).alias("pos"), at(2).alias("score"))

@@ -8,7 +8,6 @@ import zlib
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 WIDTH = 200
 
@@ -70,13 +69,29 @@ def header_lines(meta: Metadata) -> list[str]:
 
 
 def read_header(spark: SparkSession, path: str, columns: int | None = None) -> Metadata:
-    """From all comment lines before the first row, in their order; the table's columns bound them. In a folder, files are in order of name."""
-    at = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
-    lines = spark.read.text(path).where(F.trim("value") != "").select("value", at.alias("at"))
-    comment = F.col("value").startswith("#")
-    first = lines.where(~comment).agg(F.min("at").alias("first"))
-    top = lines.where(comment).join(F.broadcast(first), F.col("first").isNull() | (F.col("at") < F.col("first")))
-    return parse_header([r["value"] for r in top.orderBy("at").select("value").collect()], columns)
+    """From all comment lines before the first row. The driver reads the beginning of the first file, and of the next ones only while there is no row; in a folder, files are in order of name."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(conf)
+    found = store.globStatus(root)
+    if found is None or not len(found):
+        raise FileNotFoundError(path)
+    files = [x for f in found for x in (store.listStatus(f.getPath()) if f.isDirectory() else [f]) if x.isFile()]
+    names = sorted((x.getPath() for x in files if x.getPath().getName()[0] not in "._" or len(files) == 1), key=lambda p: p.toString())
+    lines: list[str] = []
+    for name in names:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(name)
+        stream = store.open(name)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream if codec is None else codec.createInputStream(stream), "UTF-8"))
+        try:
+            while (line := reader.readLine()) is not None:
+                if line.startswith("#"):
+                    lines.append(line)
+                elif line.strip():
+                    return parse_header(lines, columns)
+        finally:
+            reader.close()
+    return parse_header(lines, columns)
 
 
 def wrap(value: dict) -> str:

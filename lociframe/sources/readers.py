@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nucleotides import genotype_from_digits, genotype_from_vcf, ped_genotype
 from ..operators.sequences import allele_codes
+from .lines import checked_lines
 from .metadata import Metadata, read_header
 
 
@@ -52,13 +53,9 @@ def long_calls(table: DataFrame) -> DataFrame:
 
 
 def checked_table(spark: SparkSession, path: str, columns: int, integers: list[int]) -> DataFrame:
-    """Tab-separated rows; reading raises at a row with too few columns or a cell of ``integers`` that is no whole number."""
-    rows = data_rows(spark, path)
-    bad = F.size("cell") < columns
-    for c in integers:
-        bad = bad | F.get("cell", F.lit(c - 1)).try_cast("long").isNull()
-    wrong = F.raise_error(F.concat(F.lit("line "), (F.col("line") + 1).cast("string"), F.lit(": bad row: "), F.array_join("cell", "\t")))
-    return rows.select("line", F.when(F.coalesce(bad, F.lit(True)), wrong.cast("array<string>")).otherwise(F.col("cell")).alias("cell"))
+    """Tab-separated rows; raises at a row with too few columns or a cell of ``integers`` that is no whole number, naming its line."""
+    rows = checked_lines(spark, path, columns, {"cell": c for c in integers} if len(integers) < 2 else {f"cell {c}": c for c in integers})
+    return rows.select(F.struct("file", "start", "at").alias("line"), "cell")
 
 
 def individuals(spark: SparkSession, path: str) -> DataFrame:
