@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.prefix import carried
@@ -29,6 +29,14 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return told.select("file", (F.col("at") - F.col("first") + F.coalesce("before", F.lit(0)) + 1).alias("line"), "value")
 
 
+def ordered_lines(lines: DataFrame) -> DataFrame:
+    """Rows of ``placed_lines``, whichever are left, with their number ``n`` from 1 over all files in order of name, counted in the same two levels."""
+    parts = lines.withColumn("chunk", F.struct("file", "start"))
+    parts = parts.withColumn("local", F.row_number().over(Window.partitionBy("chunk").orderBy("at")))
+    told = carried(parts, [], {"ahead": F.count("*")}, {"ahead": F.sum})
+    return told.withColumn("n", F.coalesce("ahead", F.lit(0)) + F.col("local")).drop("chunk", "local", "ahead")
+
+
 def checked_lines(spark: SparkSession, path: str, columns: int, integers: dict[str, int]) -> DataFrame:
     """(file, start, at, cell array) of lines that are no comments, all of which have enough columns and whole numbers where ``integers`` (name: column from 1) says so.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import SparkSession
@@ -68,8 +69,8 @@ def header_lines(meta: Metadata) -> list[str]:
     return [*lines, "#" + text[start:]]
 
 
-def read_header(spark: SparkSession, path: str, columns: int | None = None) -> Metadata:
-    """From all comment lines before the first row. The driver reads the beginning of the first file, and of the next ones only while there is no row; in a folder, files are in order of name."""
+def leading_lines(spark: SparkSession, path: str) -> Iterator[str]:
+    """Lines from the beginning of the first file on, on the driver, for as long as they are asked for; in a folder, files are in order of name."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(path)
     store = root.getFileSystem(conf)
@@ -77,20 +78,25 @@ def read_header(spark: SparkSession, path: str, columns: int | None = None) -> M
     if found is None or not len(found):
         raise FileNotFoundError(path)
     files = [x for f in found for x in (store.listStatus(f.getPath()) if f.isDirectory() else [f]) if x.isFile()]
-    names = sorted((x.getPath() for x in files if x.getPath().getName()[0] not in "._" or len(files) == 1), key=lambda p: p.toString())
-    lines: list[str] = []
-    for name in names:
+    for name in sorted((x.getPath() for x in files if x.getPath().getName()[0] not in "._" or len(files) == 1), key=lambda p: p.toString()):
         codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(name)
         stream = store.open(name)
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream if codec is None else codec.createInputStream(stream), "UTF-8"))
         try:
             while (line := reader.readLine()) is not None:
-                if line.startswith("#"):
-                    lines.append(line)
-                elif line.strip():
-                    return parse_header(lines, columns)
+                yield line
         finally:
             reader.close()
+
+
+def read_header(spark: SparkSession, path: str, columns: int | None = None) -> Metadata:
+    """From all comment lines before the first row; no more is read."""
+    lines: list[str] = []
+    for line in leading_lines(spark, path):
+        if line.startswith("#"):
+            lines.append(line)
+        elif line.strip():
+            break
     return parse_header(lines, columns)
 
 

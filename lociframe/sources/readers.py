@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.nucleotides import genotype_from_digits, genotype_from_vcf, ped_genotype
+from ..operators import prefix
 from ..operators.sequences import allele_codes
-from .lines import checked_lines
-from .metadata import Metadata, read_header
+from .lines import checked_lines, ordered_lines, placed_lines
+from .metadata import Metadata, leading_lines, read_header
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -139,23 +140,22 @@ def _located(rows: DataFrame, loci: DataFrame) -> DataFrame:
 
 def fstat_genotypes(spark: SparkSession, path: str) -> DataFrame:
     """A line of four numbers, of which the second counts the loci; a line per locus; a line per individual."""
-    lines = text_lines(spark, path).where(F.trim("value") != "")
-    first = lines.orderBy("line").first()
-    n = int(first["value"].split()[1])
-    numbered = lines.withColumn("n", F.row_number().over(Window.orderBy("line")))
-    loci = numbered.where(F.col("n").between(2, n + 1)).select((F.col("n") - 2).alias("locus"), *_site(F.col("value")))
+    first = next(x for x in leading_lines(spark, path) if x.strip())
+    loci_number = int(first.split()[1])
+    numbered = ordered_lines(placed_lines(spark, path).where(F.trim("value") != ""))
+    loci = numbered.where(F.col("n").between(2, loci_number + 1)).select((F.col("n") - 2).alias("locus"), *_site(F.col("value")))
     words = F.split(F.trim("value"), r"\s+")
-    return _located(numbered.where(F.col("n") > n + 1).select(words[0].alias("ind"), F.slice(words, 2, n).alias("cells")), loci)
+    return _located(numbered.where(F.col("n") > loci_number + 1).select(words[0].alias("ind"), F.slice(words, 2, loci_number).alias("cells")), loci)
 
 
 def genepop_genotypes(spark: SparkSession, path: str) -> DataFrame:
     """A title, loci (by commas or a line each), then ``POP`` lines and individuals as ``name, cell cell ...``."""
-    lines = text_lines(spark, path).where(F.trim("value") != "")
-    pop = F.upper(F.trim("value")) == "POP"
-    numbered = lines.withColumn("pop", F.sum(pop.cast("int")).over(Window.orderBy("line"))).withColumn("n", F.row_number().over(Window.orderBy("line")))
-    names = numbered.where("pop = 0 AND n > 1").select("n", F.posexplode(F.split("value", ",")).alias("j", "locus")).where(F.trim("locus") != "")
-    loci = names.select((F.row_number().over(Window.orderBy("n", "j")) - 1).alias("locus"), *_site(F.col("locus")))
-    rows = numbered.where((F.col("pop") > 0) & ~pop)
+    numbered = ordered_lines(placed_lines(spark, path).where(F.trim("value") != "")).withColumn("is_pop", F.upper(F.trim("value")) == "POP")
+    first = numbered.where("is_pop").agg(F.coalesce(F.min("n"), F.lit(1 << 62)).alias("pop"))  # one row
+    numbered = numbered.join(F.broadcast(first))
+    names = numbered.where("n < pop AND n > 1").select("n", F.posexplode(F.split("value", ",")).alias("j", "locus")).where(F.trim("locus") != "")
+    loci = prefix.numbered(names, "number", F.asc("n"), F.asc("j")).select(F.col("number").alias("locus"), *_site(F.col("locus")))
+    rows = numbered.where("n > pop AND NOT is_pop")
     return _located(rows.select(F.trim(F.substring_index("value", ",", 1)).alias("ind"), F.split(F.trim(F.substring_index("value", ",", -1)), r"\s+").alias("cells")), loci)
 
 
