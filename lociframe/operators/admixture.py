@@ -175,3 +175,11 @@ def state_shares(path: DataFrame) -> DataFrame:
     sums = path.groupBy("ind", "state").agg(F.sum(F.col("end") - F.col("start")).alias("length"))
     whole = F.sum("length").over(Window.partitionBy("ind"))
     return sums.select("ind", "state", (100 * F.col("length") / whole).alias("percent"))
+
+
+def karyotype_rows(path: DataFrame, lengths: DataFrame) -> DataFrame:
+    """What a karyotype is drawn from: (ind, chrom, left, right, state), ends as shares of the longest chromosome; (chrom, length) may lack chromosomes, which then end with the path."""
+    reach = path.groupBy("chrom").agg(F.max("end").alias("reach")).join(lengths, "chrom", "full_outer").select("chrom", F.greatest("reach", "length").alias("length"))
+    longest = reach.agg(F.max("length").alias("longest"))  # one row
+    at = lambda c: (F.col(c) / F.col("longest"))
+    return path.join(F.broadcast(longest)).select("ind", "chrom", at("start").alias("left"), at("end").alias("right"), "state")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,3 +78,20 @@ def covariance(calls: DataFrame, individuals: int) -> DataFrame:
     z = F.transform("v", lambda x: F.struct(x["ind"].alias("ind"), ((x["g"] - F.col("s") / F.col("n")) / F.sqrt(p * (1 - p))).alias("z")))
     rows = held.select("site", z.alias("z")).select(F.explode("z").alias("x"), "z").select("x", F.explode("z").alias("y"))
     return rows.groupBy(F.col("x.ind").alias("i"), F.col("y.ind").alias("j")).agg(F.sum(F.col("x.z") * F.col("y.z")).alias("product"))
+
+
+def principal_points(products: DataFrame, individuals: int, axes: int = 2) -> list[tuple[int, int, float]]:
+    """(individual, axis from 1, coordinate): unit eigenvectors of the covariance, largest eigenvalue first; the largest coordinate of an axis is positive.
+
+    The matrix has a row per individual, not per site, and is solved on the driver.
+    """
+    m = np.zeros((individuals, individuals))
+    for r in products.collect():
+        m[r["i"], r["j"]] = r["product"]
+    _, vectors = np.linalg.eigh((m + m.T) / 2)
+    out = []
+    for axis in range(min(axes, individuals)):
+        v = vectors[:, -1 - axis]
+        v = v if v[np.abs(v).argmax()] > 0 else -v
+        out += [(i, axis + 1, float(x)) for i, x in enumerate(v)]
+    return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,3 +53,16 @@ def population_chi2(anova: DataFrame) -> DataFrame:
     """The F of each pair of populations summed over the components, as a chi-square with as many degrees of freedom."""
     sums = anova.groupBy("p", "q").agg(F.sum("f").alias("chi2"), F.count("f").alias("df"))
     return sums.withColumn("p_value", chi2_tails("chi2", "df"))
+
+
+def specified(people: DataFrame, columns: Iterable[int], pasted: str) -> DataFrame:
+    """People (col, name) that are ticked by column, or the first word of whose name occurs in the pasted text."""
+    first = F.split("name", r"\s+")[0]
+    return people.where(F.col("col").isin(list(columns)) | F.contains(F.lit(pasted), first))
+
+
+def population_faults(population: DataFrame, table: DataFrame, other: DataFrame) -> DataFrame:
+    """One row: how many individuals (ind) of a population the table lacks, and how many another population has too."""
+    chosen = population.select("ind").distinct()
+    outside = chosen.join(table.select("ind").distinct(), "ind", "left_anti").agg(F.count("*").alias("outside"))
+    return outside.crossJoin(chosen.join(other.select("ind").distinct(), "ind", "left_semi").agg(F.count("*").alias("shared")))  # one row each

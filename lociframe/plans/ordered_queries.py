@@ -54,20 +54,37 @@ def best_run(spark: SparkSession, d: str) -> DataFrame:
     return ordered.best_run(runs(spark, d), shift_of(spark, d))
 
 
-@query()
+#: A run is maximal if all its beginnings and all its ends have positive sums, and no longer run around it is like that.
+MAXIMAL = f"""{SHIFT}, u AS (SELECT chrom, pos, row_number() OVER w AS n, sum(score - shift) OVER w AS upto, sum(score - shift) OVER w - (score - shift) AS before FROM runs, shift WINDOW w AS (PARTITION BY chrom ORDER BY pos)),
+    ahead AS (SELECT a.chrom, a.n, a.pos, a.before, coalesce(min(k.n), 1000000000) AS falls FROM u a LEFT JOIN u k ON k.chrom = a.chrom AND k.n >= a.n AND k.upto <= a.before GROUP BY 1, 2, 3, 4),
+    behind AS (SELECT z.chrom, z.n, z.pos, z.upto, coalesce(max(k.n), 0) AS high FROM u z LEFT JOIN u k ON k.chrom = z.chrom AND k.n <= z.n AND k.before >= z.upto GROUP BY 1, 2, 3, 4),
+    good AS (SELECT a.chrom, a.n AS i, max_by(z.n, z.n) AS j, a.pos AS start, max_by(z.pos, z.n) + 1 AS "end", CAST(max_by(z.upto, z.n) - a.before AS BIGINT) AS score FROM ahead a JOIN behind z ON z.chrom = a.chrom AND z.n >= a.n AND z.n < a.falls AND a.n > z.high GROUP BY a.chrom, a.n, a.pos, a.before),
+    maximal AS (SELECT chrom, start, "end", score FROM good g WHERE NOT EXISTS (SELECT 1 FROM good h WHERE h.chrom = g.chrom AND h.i <= g.i AND h.j >= g.j AND (h.i < g.i OR h.j > g.j)))"""
+
+
+@query(f"WITH {MAXIMAL} SELECT * FROM maximal")
 def max_runs(spark: SparkSession, d: str) -> DataFrame:
     return ordered.max_runs(runs(spark, d), shift_of(spark, d))
 
 
-@query(f"""WITH {SHIFT}, m AS (SELECT k AS shuffle, chrom, pos, md5('1:' || k || ':' || chrom || ':' || pos) AS mark, score - shift AS x FROM runs, shift, (SELECT unnest(range(1, 11)) AS k)),
-    u AS (SELECT *, sum(x) OVER (PARTITION BY shuffle, chrom ORDER BY mark, pos) AS upto FROM m),
-    t AS (SELECT shuffle, upto - min(upto - x) OVER (PARTITION BY shuffle, chrom ORDER BY mark, pos) AS total FROM u)
+SHUFFLED = """m AS (SELECT k AS shuffle, chrom, pos, md5('1:' || k || ':' || chrom || ':' || pos) AS mark, score - shift AS x FROM runs, shift, (SELECT unnest(range(1, 11)) AS k)),
+    c AS (SELECT *, sum(x) OVER (PARTITION BY shuffle, chrom ORDER BY mark, pos) AS upto FROM m),
+    t AS (SELECT shuffle, upto - min(upto - x) OVER (PARTITION BY shuffle, chrom ORDER BY mark, pos) AS total FROM c)"""
+
+
+@query(f"""WITH {SHIFT}, {SHUFFLED}
     SELECT CAST(shuffle AS BIGINT) AS shuffle, CAST(greatest(0, max(total)) AS BIGINT) AS largest FROM t GROUP BY 1""")
 def max_runs_shuffle(spark: SparkSession, d: str) -> DataFrame:
     found = ordered.shuffled_threshold(runs(spark, d), shift_of(spark, d), 10)
     return found.select(F.col("shuffle").cast("long").alias("shuffle"), F.col("largest").cast("long").alias("largest"))
 
 
+@query(f"WITH {MAXIMAL}, {SHUFFLED} SELECT maximal.* FROM maximal WHERE score > (SELECT greatest(0, max(total)) FROM t)")
+def significant_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Maximal runs above the largest run of ten shuffles."""
+    return ordered.significant_runs(runs(spark, d), shift_of(spark, d), 10)
+
+
 FREQ = """f AS (SELECT site, (sum(CASE WHEN ind IN (0,1) AND g >= 0 THEN g ELSE 0 END) + 1) / (sum(CASE WHEN ind IN (0,1) AND g >= 0 THEN 2 ELSE 0 END) + 2)::DOUBLE AS f1,
     (sum(CASE WHEN ind IN (2,3) AND g >= 0 THEN g ELSE 0 END) + 1) / (sum(CASE WHEN ind IN (2,3) AND g >= 0 THEN 2 ELSE 0 END) + 2)::DOUBLE AS f2,
     (sum(CASE WHEN ind IN (6,7) AND g >= 0 THEN g ELSE 0 END) + 1) / (sum(CASE WHEN ind IN (6,7) AND g >= 0 THEN 2 ELSE 0 END) + 2)::DOUBLE AS f3, 0.75::DOUBLE AS f4 FROM calls GROUP BY 1)"""
@@ -124,6 +141,15 @@ def admix_path_extended(spark: SparkSession, d: str) -> DataFrame:
     return admixture.extended(admix_path(spark, d), lengths)
 
 
+@query(f"""{PATH}, l AS (SELECT p_partkey % 10 AS chrom, max(p_partkey) * 100 + 5000 AS length FROM part GROUP BY 1), w AS (SELECT greatest((SELECT max(length) FROM l), (SELECT max("end") FROM path))::DOUBLE AS longest)
+    SELECT ind, chrom, round(start / longest, 6) AS "left", round("end" / longest, 6) AS "right", state FROM path, w""")
+def karyotype_rows(spark: SparkSession, d: str) -> DataFrame:
+    """What a karyotype is drawn from."""
+    k = F.col("p_partkey")
+    lengths = load(spark, d, "part").groupBy((k % 10).alias("chrom")).agg((F.max(k) * 100 + 5000).alias("length"))
+    return rounded(admixture.karyotype_rows(admix_path(spark, d), lengths), "left", "right")
+
+
 @query(f"{ADMIX} {state_sql(TWO)}")
 def admix_states(spark: SparkSession, d: str) -> DataFrame:
     return rounded(admixture.admixture_states(calls(spark, d), ADMIXED, POP1, POP2), "s1", "s2", "s3")
@@ -322,3 +348,10 @@ def pca_eigen(spark: SparkSession, d: str) -> DataFrame:
     values = np.linalg.eigvalsh(m)[::-1]
     scale = (n - 1) / values.sum() if values.sum() > 0 else 0.0
     return spark.createDataFrame([(i + 1, round(float(v * scale), 6), round(float(100 * v * scale / (n - 1)), 6)) for i, v in enumerate(values)], "component long, eigenvalue double, percent double")
+
+
+@query()
+def pca_points(spark: SparkSession, d: str) -> DataFrame:
+    """Coordinates of individuals on the first two axes."""
+    rows = pairs.principal_points(pairs.covariance(calls(spark, d), 8), 8)
+    return rounded(spark.createDataFrame(rows, "ind long, axis long, coordinate double"), "coordinate")

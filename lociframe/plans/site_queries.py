@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nucleotides import ped_alleles
 from ..operators import fst as fst_ops
-from ..operators import pairs, sites
+from ..operators import pairs, populations, sites
 from .catalog import query
 from .views import ADMIXED, CALLS, EVERYONE, POP1, POP2, calls, load
 
@@ -251,14 +251,12 @@ def nucleotide_diversity(spark: SparkSession, d: str) -> DataFrame:
 def specify_individuals(spark: SparkSession, d: str) -> DataFrame:
     col = F.col("l_suppkey") % 40
     names = load(spark, d, "lineitem").select(col.alias("col"), F.concat(F.lit("ind"), col.cast("string"), F.lit(" tag")).alias("name")).distinct()
-    first = F.split("name", r"\s+")[0]
-    return names.where(F.col("col").isin(3, 5) | F.contains(F.lit("pasted ind7 ind12, ind30;"), first))
+    return populations.specified(names, (3, 5), "pasted ind7 ind12, ind30;")
 
 
 @query("""WITH p AS (SELECT DISTINCT l_suppkey % 8 AS ind FROM lineitem WHERE l_returnflag = 'R'), t AS (SELECT DISTINCT l_suppkey % 8 AS ind FROM lineitem)
     SELECT (SELECT CAST(count(*) AS BIGINT) FROM p WHERE ind NOT IN (SELECT ind FROM t)) AS outside, (SELECT CAST(count(*) AS BIGINT) FROM p WHERE ind IN (2, 3)) AS shared""")
 def population_check(spark: SparkSession, d: str) -> DataFrame:
     items = load(spark, d, "lineitem")
-    p, t = (x.select((F.col("l_suppkey") % 8).alias("ind")).distinct() for x in (items.where("l_returnflag = 'R'"), items))
-    outside = p.join(t, "ind", "left_anti").agg(F.count("*").alias("outside"))
-    return outside.crossJoin(p.where("ind IN (2, 3)").agg(F.count("*").alias("shared")))
+    p, t = (x.select((F.col("l_suppkey") % 8).alias("ind")) for x in (items.where("l_returnflag = 'R'"), items))
+    return populations.population_faults(p, t, t.where("ind IN (2, 3)"))

@@ -184,3 +184,16 @@ def test_assignment_report(spark):
     pairs = spark.createDataFrame([(1, 5, 0.5), (0, 4, 0.25)], "mother long, father long, weight double")
     random = spark.createDataFrame([(0, 0.2), (1, 0.3)], "shuffle long, mean_weight double")
     assert [r["value"] for r in mating.assignment_report(pairs, random).collect()] == ["0 4 0.250000", "1 5 0.500000", "mean of best pairs: 0.375000", "mean of random pairs: 0.250000"]
+
+
+def test_principal_points(spark):
+    from lociframe.operators import pairs
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50, 6)) * np.array([9, 1, 1, 4, 1, 1])
+    m = x.T @ x
+    products = spark.createDataFrame([(i, j, float(m[i, j])) for i in range(6) for j in range(6)], "i long, j long, product double")
+    got = pairs.principal_points(products, 6)
+    for axis, value in enumerate(sorted(np.linalg.eigvalsh(m))[::-1][:2], 1):
+        v = np.array([c for _, a, c in got if a == axis])
+        assert np.allclose(m @ v, value * v) and abs(v @ v - 1) < 1e-9 and v[np.abs(v).argmax()] > 0
