@@ -73,6 +73,40 @@ def test_directory_splits_overfull_buckets(spark):
     assert len(exact_dedup.split(np.array([6, 7], "uint64"), 0, 0, 1)) == 65  # only the last bit tells them
 
 
+def test_buckets_are_cut_as_keys_come():
+    """As a split of all keys at once gives; what is held is one bucket."""
+
+    def halved(keys, low, depth, limit):
+        if len(keys) <= limit or depth == 64:
+            return [(low, depth, len(keys))]
+        middle = low + (1 << (63 - depth))
+        return halved([k for k in keys if k < middle], low, depth + 1, limit) + halved([k for k in keys if k >= middle], middle, depth + 1, limit)
+
+    r = random.Random(3)
+    for limit in (1, 3, 10):
+        for low, depth in ((0, 0), (1 << 63, 1), (5 << 61, 3)):
+            wide = 1 << (64 - depth)
+            keys = sorted({low + r.choice([r.randrange(wide), r.randrange(200), wide - 1 - r.randrange(50)]) for _ in range(r.choice([0, 1, 5, 200]))})
+            buckets, got = exact_dedup.Buckets(low, depth, limit), []
+            for k in keys:
+                got += buckets.add(k)
+                assert len(buckets.keys) <= limit or buckets.ahead[-1][1] == 64
+            assert got + buckets.finish() == halved(keys, low, depth, limit)
+    assert [exact_dedup.owner_bits(*x) for x in ((0, 1), (10, 4), (10, 5), (2_000_000, 1), (2_000_001, 1), (10**10, 256))] == [0, 2, 3, 0, 1, 13]
+
+
+def test_rows_are_found_through_the_directory(spark):
+    docs = documents(spark, [(i, f"text {i % 700}") for i in range(1000)])
+    index = exact_dedup.build_index(docs, 7)
+    buckets = {r["bucket"] for r in index.where("sha IS NOT NULL").collect()}
+    assert buckets == {r["key"] for r in index.where("depth IS NOT NULL AND keys > 0").collect()} and len(buckets) > 100
+    keys = spark.createDataFrame([(exact_dedup.signed(xxhash.xxh64_intdigest(f"text {i}".encode(), 42)), i) for i in range(650, 750)], "key long, i long")
+    entries = index.where("sha IS NOT NULL").select("bucket", "key", "group_size")
+    found = exact_dedup.located(index, keys).join(entries, ["bucket", "key"])
+    assert sorted((r["i"], r["group_size"]) for r in found.collect()) == [(i, 1) for i in range(650, 700)]
+    assert exact_dedup.located(index.limit(0), keys).isEmpty()
+
+
 def brute_fingerprint(text):
     words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").translate({i: 32 for i in range(9, 14)}).split(" ")
     words = [w for w in words if w]
