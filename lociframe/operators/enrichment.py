@@ -48,11 +48,28 @@ def enrichment_report(rows: DataFrame) -> DataFrame:
     return told.select(F.col("k").alias("count"), "representation", "rank", "p_low", "p_high", "cat").orderBy(*order)
 
 
-def cooccurrence(membership: DataFrame) -> DataFrame:
-    """Genes that two categories share; pairs are formed within a gene's array, whose length the categories bound."""
-    held = membership.groupBy("gene").agg(F.array_sort(F.collect_set("cat")).alias("c"))
-    pairs = F.flatten(F.transform("c", lambda x: F.transform(F.filter("c", lambda y: y > x), lambda y: F.struct(x.alias("c1"), y.alias("c2")))))
-    return held.select(F.inline(pairs)).groupBy("c1", "c2").agg(F.count("*").alias("weight"))
+#: Categories of a gene that are paired within one row.
+BLOCK = 256
+
+
+def cooccurrence(membership: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Genes that two categories share.
+
+    Pairs are formed within arrays of a gene's categories. A gene with more than ``block`` categories has them dealt to blocks of about that
+    size by hash: pairs within a block as before, pairs across by a join of its blocks, so no row and no task holds all pairs of a gene.
+    """
+    rows = membership.select("gene", "cat").distinct()
+    wide = stored(rows.groupBy("gene").agg(F.count("*").alias("n")).where(F.col("n") > block))
+    dealt = rows.join(wide, "gene", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / block), F.lit(1)))
+    held = dealt.withColumn("block", F.pmod(F.xxhash64("cat"), F.col("blocks"))).groupBy("gene", "blocks", "block").agg(F.array_sort(F.collect_list("cat")).alias("c"))
+    within = F.flatten(F.transform("c", lambda x: F.transform(F.filter("c", lambda y: y > x), lambda y: F.struct(x.alias("c1"), y.alias("c2")))))
+    pairs = held.select(F.inline(within))
+    if not wide.isEmpty():
+        parts = stored(held.where("blocks > 1"))
+        other = parts.select("gene", F.col("block").alias("next"), F.col("c").alias("d"))
+        across = F.flatten(F.transform("c", lambda x: F.transform("d", lambda y: F.struct(F.least(x, y).alias("c1"), F.greatest(x, y).alias("c2")))))
+        pairs = pairs.union(parts.join(other, "gene").where("block < next").select(F.inline(across)))
+    return pairs.groupBy("c1", "c2").agg(F.count("*").alias("weight"))
 
 
 def clustering_coefficient(edges: DataFrame) -> DataFrame:

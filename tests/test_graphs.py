@@ -5,7 +5,7 @@ from collections import deque
 
 from pyspark.sql import functions as F
 
-from lociframe.operators import graphs, sequences
+from lociframe.operators import enrichment, graphs, sequences
 
 
 def found(df):
@@ -66,3 +66,19 @@ def test_nested_bins(spark):
     covered = bins.withColumn("size", F.lit(16) * F.pow(F.lit(16), "level")).groupBy("name", "start", "end").agg(F.sum("size").alias("covered"))
     assert covered.where("covered < end - start + 1 OR covered > end - start + 1 + 2 * 16").isEmpty()
     assert sequences.in_spans(p, s.limit(0)).isEmpty()
+
+
+def test_cooccurrence_of_a_hot_gene(spark):
+    r = random.Random(4)
+    rows = [("hot", f"c{i}") for i in range(60)] + [("warm", f"c{i * 2}") for i in range(20)] + [(f"g{k}", f"c{r.randrange(60)}") for k in range(40) for _ in range(4)]
+    by, want = {}, {}
+    for g, c in rows:
+        by.setdefault(g, set()).add(c)
+    for cats in by.values():
+        for x in cats:
+            for y in cats:
+                if x < y:
+                    want[x, y] = want.get((x, y), 0) + 1
+    df = spark.createDataFrame(rows, "gene string, cat string")
+    for block in (3, 19, 256):
+        assert {(x["c1"], x["c2"]): x["weight"] for x in enrichment.cooccurrence(df, block).collect()} == want
