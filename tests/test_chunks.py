@@ -115,3 +115,12 @@ def test_ranks_and_numbers(spark):
     kept = sorted(x["k"] for x in ordered.thin(df, ["k"], 7).collect())
     assert kept == sorted({int(np.ceil(i * 600 / 7 + 600 / 14)) - 1 for i in range(7)})
     assert ordered.ranked(df.limit(0), F.col("v")).isEmpty() and prefix.numbered(df.limit(0), "n", F.asc("k")).isEmpty()
+
+
+def test_a_planted_run_is_significant(spark):
+    rows = [(c, p, 6 if c == 1 and 200 <= p < 240 else (-7, -2, 1, 3)[(p * 7919 + c) % 4]) for c in (0, 1) for p in range(400)]
+    df = spark.createDataFrame(rows, "chrom long, pos long, score long")
+    got = found(ordered.significant_runs(df, 0, 3))
+    bound = max(m for _, m in found(ordered.shuffled_threshold(df, 0, 3)))
+    assert len(got) == 1 and got[0][0] == 1 and got[0][1] <= 200 and got[0][2] >= 240 and got[0][3] > bound > 0
+    assert len(found(ordered.max_runs(df, 0))) > 1
