@@ -136,7 +136,7 @@ def site_order(spark: SparkSession, d: str) -> DataFrame:
     """Places of sites in the order of chromosome names without c, h and r before them, and positions."""
     k = F.col("p_partkey")
     chrom = F.concat(F.when(k % 3 == 0, "chr").when(k % 3 == 1, "r").otherwise(""), F.col("p_size").cast("string"))
-    rows = load(spark, d, "part").select(k.alias("k"), chrom.alias("chrom"), F.col("p_retailprice").cast("decimal(18,0)").cast("long").alias("pos")).withColumn("key", chromosome_key(F.col("chrom"))).where("key = '7' OR k % 50 = 0")
+    rows = load(spark, d, "part").select(k.alias("k"), chrom.alias("chrom"), F.rint("p_retailprice").cast("long").alias("pos")).withColumn("key", chromosome_key(F.col("chrom"))).where("key = '7' OR k % 50 = 0")
     return numbered(rows, "at", F.asc("key"), F.asc("pos"), F.asc("k")).select("k", "chrom", (F.col("at") + 1).alias("place"))
 
 

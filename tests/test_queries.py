@@ -43,3 +43,11 @@ def test_query(spark, duck, small, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_site_order_rounds_halves_to_even(spark, duck, tmp_path):
+    """Prices of a half decide the order: 2.5 stands with 2, as in SQL."""
+    duck.sql(f"COPY (SELECT i AS p_partkey, 'x' AS p_name, 'b' AS p_brand, 't' AS p_type, 7::INTEGER AS p_size, (i * 37 % 40) / 2.0::DOUBLE AS p_retailprice FROM range(80) r(i)) TO '{tmp_path}/part.parquet'")
+    own = duckdb.connect()
+    own.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet'")
+    assert sorted(map(tuple, QUERIES["site_order"](spark, str(tmp_path)).collect())) == sorted(own.sql(SQL["site_order"]).fetchall())
