@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.nucleotides import genotype_from_digits, genotype_from_vcf, ped_genotype
@@ -18,8 +18,13 @@ from .metadata import Metadata, leading_lines, read_header
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(value, line): lines in the order of a file. Ids of partitions and rows keep that order without a global sort."""
-    return spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+    """(value, line): lines, and what they are ordered by: the file's name, where the split of the file begins, and an id within it. Ids alone are no order, since Spark deals files to partitions by size."""
+    return placed_lines(spark, path).select("value", F.struct("file", "start", "at").alias("line"))
+
+
+def first_line(lines: DataFrame) -> Row | None:
+    """The first of ``text_lines``: in the first file by name, however many there are."""
+    return lines.agg(F.min(F.struct("line", "value")).alias("first")).first()["first"]
 
 
 def data_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -90,9 +95,9 @@ def _site(text: Column) -> list[Column]:
 def csv_genotypes(spark: SparkSession, path: str) -> DataFrame:
     """(chrom, pos, ind, cell, g) of a table whose head names individuals; g is null where cells are nucleotides."""
     lines = text_lines(spark, path)
-    head = lines.orderBy("line").first()
+    head = first_line(lines)
     names = [x.strip() for x in head["value"].split(",")[1:]]
-    rows = lines.where((F.col("line") > head["line"]) & (F.trim("value") != "")).select(F.split("value", ",").alias("cell"))
+    rows = lines.where((F.col("line") > F.struct(*[F.lit(x).cast(t).alias(n) for n, t, x in zip(("file", "start", "at"), ("string", "long", "long"), head["line"], strict=True)])) & (F.trim("value") != "")).select(F.split("value", ",").alias("cell"))
     people = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("ind"), F.transform(F.slice("cell", 2, len(names)), lambda x: F.trim(x)).alias("cell"))
     found = rows.select(*_site(F.col("cell")[0]), F.inline(people).alias("ind", "cell"))
     return found.withColumn("g", F.when(F.col("cell").rlike("^[0-9]+$"), genotype_from_digits(F.col("cell"))))
@@ -162,7 +167,7 @@ def genepop_genotypes(spark: SparkSession, path: str) -> DataFrame:
 def vcf_genotypes(spark: SparkSession, path: str) -> DataFrame:
     """(chrom, pos, ref, alt, qual, ind, g, a, b, q); reads and quality are null where a row has no AD or GQ."""
     lines = text_lines(spark, path)
-    head = lines.where(F.col("value").startswith("#CHROM")).orderBy("line").first()
+    head = first_line(lines.where(F.col("value").startswith("#CHROM")))
     names = head["value"].split()[9:]
     rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(F.split(F.trim("value"), r"\s+").alias("c"))
     people = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("ind"), F.slice("c", 10, len(names)).alias("cell"))

@@ -122,3 +122,17 @@ def test_other_writers(spark):
     assert writers.eigenstrat_parameters("g", "s", "i", "v", "w")[-1] == "numoutevec: 2"
     lines = writers.submission_lines("H", "B", ["p", "q"])
     assert lines.count("||") == 6 and lines.count("HANDLE: H") == 6 and "BATCH: B" in lines and "ID: q" in lines
+
+
+def test_a_table_in_several_files(spark, tmp_path):
+    """Spark deals files to partitions by size: the head is in the first file by name, not in the largest one."""
+    (tmp_path / "csv").mkdir()
+    put(tmp_path / "csv" / "part-0", "site,x,y\na 1,11,12\n")
+    put(tmp_path / "csv" / "part-1", "".join(f"a {i},22,11\n" for i in range(2, 900)))
+    rows = readers.csv_genotypes(spark, str(tmp_path / "csv")).select("chrom", "pos", "ind", "g").collect()
+    assert sorted(map(tuple, rows)) == sorted([("a", 1, "x", 2), ("a", 1, "y", 1)] + [("a", i, n, g) for i in range(2, 900) for n, g in (("x", 0), ("y", 2))])
+    (tmp_path / "keys").mkdir()
+    put(tmp_path / "keys" / "part-0", "k\tfirst\n")
+    put(tmp_path / "keys" / "part-1", "k\tlast\n" * 900)
+    assert readers.locations(spark, str(tmp_path / "keys")).first()["value"] == "first"
+    assert readers.first_line(readers.text_lines(spark, str(tmp_path / "csv")).limit(0)) is None
