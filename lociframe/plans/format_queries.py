@@ -55,13 +55,13 @@ def bedgraph_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"{WITH} SELECT site, string_agg(CASE WHEN g < 0 THEN '9' ELSE CAST(g AS VARCHAR) END, '' ORDER BY ind) AS genotypes FROM calls GROUP BY 1")
 def eigenstrat_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Lines in the order of sites: the site is told by the line with its name."""
+    """Lines in the order of sites: the site is told by the line with its name, the one of the same number, wherever the files are split."""
     found = calls(spark, d)
-    lines = writers.eigenstrat_lines(found).select("value").coalesce(1)
-    names = writers.eigenstrat_snp_lines(found.select("site").distinct()).coalesce(1)
-    genotypes = readers.text_lines(spark, written(lines, "geno"))
+    counted = lambda rows, name: lines.ordered_lines(lines.placed_lines(spark, written(rows, name)))
+    genotypes = counted(writers.eigenstrat_lines(found), "geno")
+    names = counted(writers.eigenstrat_snp_lines(found.select("site").distinct()), "snp")
     site = F.regexp_extract("value", r"^ *snp([0-9]+)", 1).cast("long").alias("site")
-    return readers.text_lines(spark, written(names, "snp")).select("line", site).join(genotypes.select("line", F.col("value").alias("genotypes")), "line").select("site", "genotypes")
+    return names.select("n", site).join(genotypes.select("n", F.col("value").alias("genotypes")), "n").select("site", "genotypes")
 
 
 def made_table(spark: SparkSession, d: str) -> str:

@@ -5,8 +5,11 @@ import gzip
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
+from lociframe.plans import views
+from lociframe.registry import QUERIES
 from lociframe.sources import lines, metadata, readers, variant_source, writers
 
 
@@ -135,3 +138,10 @@ def test_only_the_head_is_read(spark, tmp_path):
     assert metadata.read_header(spark, str(tmp_path / "t.gz")) == meta
     with pytest.raises(Exception, match="nowhere"):
         metadata.read_header(spark, str(tmp_path / "nowhere"))
+
+
+def test_lines_of_sites_meet_wherever_files_are_split(spark, small):
+    with small_splits(spark, 900):
+        found = {r["site"]: r["genotypes"] for r in QUERIES["eigenstrat_round_trip"](spark, small).collect()}
+    held = views.calls(spark, small).groupBy("site").agg(F.array_sort(F.collect_list(F.struct("ind", "g"))).alias("v")).collect()
+    assert found == {r["site"]: "".join("9" if x["g"] < 0 else str(x["g"]) for x in r["v"]) for r in held}
