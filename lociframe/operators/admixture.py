@@ -6,7 +6,7 @@ of two, in order (of three populations: 4 is first and second, 5 first and third
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -43,20 +43,15 @@ def admixture_states(calls: DataFrame, admixed: Iterable[int], *populations: Ite
 
 
 def forward(scores: np.ndarray, penalty: float, best: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Best sums at the last row by state, and for each row the state before it. ``best``: sums in front of the first row; None: nothing is there.
-
-    ``best`` may be several vectors, a row each; then the sums are rows too. Ties keep the state, and then the lower one.
-    """
+    """Best sums at the last row by state, and for each row the state before it. ``best``: sums in front of the first row; None: nothing is there. Ties keep the state, and then the lower one."""
     n, k = scores.shape
-    several = best is not None and best.ndim == 2
-    back = np.zeros((0 if several else n, k), "int64")
+    back = np.zeros((n, k), "int64")
     for i in range(n):
         if best is None:
             best, back[i] = scores[0].copy(), np.arange(k)
             continue
-        move = best.max(axis=-1, keepdims=True) - penalty
-        if not several:
-            back[i] = np.where(best >= move, np.arange(k), int(best.argmax()))
+        move = best.max() - penalty
+        back[i] = np.where(best >= move, np.arange(k), int(best.argmax()))
         best = np.maximum(best, move) + scores[i]
     return best, back
 
@@ -83,10 +78,10 @@ INTERVALS = "array<struct<start: long, end: long, state: long>>"
 def admixture_path(states: DataFrame, penalty: float, heterochromatin: DataFrame | None = None, width: int = CHUNK) -> DataFrame:
     """Intervals of constant state of each individual and chromosome. Sites in ``heterochromatin`` (chrom, start, end) have state 0.
 
-    No group holds more than a chunk of ``width`` positions. 1. A chunk's sites become a matrix: the best sum from each state in front of it to each
-    state at its end. 2. An individual's matrices of a chromosome, k x k numbers a chunk, are applied one behind the other, which gives the sums in front of each chunk.
-    3. With these, a chunk finds its best path for each state it may end in: where that begins, and its intervals.
-    4. From the best last state the chunks' ends are followed back, each chunk gives the intervals of its path, and intervals that meet at a border in one state are joined.
+    1. One pass along each individual's chromosome, a batch of rows at a time, notes the best sums (k numbers) in front of each chunk of ``width`` positions. Sums are
+    added site by site: in any other order they would differ in their last digits, and states that tie would be told apart by where chunks begin.
+    2. With these, a chunk finds its best path for each state it may end in: where that begins, and its intervals. No group holds more than a chunk.
+    3. From the best last state the chunks' ends are followed back, each chunk gives the intervals of its path, and intervals that meet at a border in one state are joined.
     """
     names = [c for c in states.columns if c[0] == "s" and c[1:].isdigit()]
     k = len(names)
@@ -98,21 +93,21 @@ def admixture_path(states: DataFrame, penalty: float, heterochromatin: DataFrame
     rows = stored(rows.select("chrom", "ind", "pos", "dark", *names).withColumn("chunk", by_position(width)))
     keys = "chrom long, ind long, chunk long"
 
-    def matrix(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
-        scores = t[~t["dark"]].sort_values("pos")[names].to_numpy()
-        if not len(scores):
-            return pd.DataFrame({"chrom": [key[0]], "ind": [key[1]], "chunk": [key[2]], "alone": [None], "through": [None]})
-        apart = np.where(np.eye(k, dtype=bool), 0.0, -np.inf)
-        return pd.DataFrame({"chrom": [key[0]], "ind": [key[1]], "chunk": [key[2]], "alone": [forward(scores, penalty)[0]], "through": [forward(scores, penalty, apart)[0].ravel()]})
-
-    def apply_matrices(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
-        ahead, best = [], None
-        t = t.sort_values("chunk")
-        for alone, through in zip(t["alone"], t["through"], strict=True):
-            ahead.append(best)
-            if alone is not None:
-                best = np.asarray(alone) if best is None else (best[:, None] + np.asarray(through).reshape(k, k)).max(axis=0)
-        return pd.DataFrame({"chrom": key[0], "ind": key[1], "chunk": t["chunk"], "best": ahead})
+    def fronts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows in order of chromosome, individual and position -> the sums in front of each chunk."""
+        last, best = (), None
+        for t in batches:
+            scores, dark, out = t[names].to_numpy(), t["dark"].to_numpy(bool), []
+            at = t[["chrom", "ind", "chunk"]].to_numpy()
+            cuts = np.r_[0, np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1, len(at)] if len(at) else [0]
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                here = tuple(at[i].tolist())
+                if here[:2] != last[:2]:
+                    best = None
+                if here != last:
+                    out.append((*here, None if best is None else best.tolist()))
+                last, best = here, forward(scores[i:j][~dark[i:j]], penalty, best)[0]
+            yield pd.DataFrame(out, columns=["chrom", "ind", "chunk", "best"])
 
     def paths(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
         t = t.sort_values("pos")
@@ -141,8 +136,7 @@ def admixture_path(states: DataFrame, penalty: float, heterochromatin: DataFrame
                 state = int(maps[c]["first"].iloc[state])
         return pd.DataFrame(ends, columns=["chrom", "ind", "chunk", "last"])
 
-    ahead = rows.groupBy("chrom", "ind", "chunk").applyInPandas(matrix, f"{keys}, alone array<double>, through array<double>")
-    ahead = ahead.groupBy("chrom", "ind").applyInPandas(apply_matrices, f"{keys}, best array<double>")
+    ahead = rows.repartition("chrom", "ind").sortWithinPartitions("chrom", "ind", "pos").mapInPandas(fronts, f"{keys}, best array<double>")
     found = rows.join(ahead, ["chrom", "ind", "chunk"]).groupBy("chrom", "ind", "chunk").applyInPandas(paths, f"{keys}, last long, first long, total double, intervals {INTERVALS}")
     found = stored(found)
     ends = found.drop("intervals").groupBy("chrom", "ind").applyInPandas(follow_back, f"{keys}, last long")

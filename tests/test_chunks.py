@@ -99,6 +99,20 @@ def test_admixture_path(spark, width):
     assert admixture.admixture_path(df.limit(0), 2.0).isEmpty()
 
 
+
+def test_admixture_path_of_tying_states(spark):
+    """Sums of tenths tie but for their last digits; these must be those of adding site by site, wherever chunks begin."""
+    r = random.Random(5)
+    rows, want = [], []
+    for c in range(12):
+        scores = np.array([[-r.randrange(1, 12) / 10 for _ in range(3)] for _ in range(150)])
+        path = (admixture.best_path(scores, 0.5) + 1).tolist()
+        rows += [(c, p, 4, *s) for p, s in enumerate(scores.tolist())]
+        at = [i for i in range(150) if not i or path[i] != path[i - 1]]
+        want += [(c, 4, i, j, path[i]) for i, j in zip(at, [*at[1:], 150], strict=True)]
+    df = spark.createDataFrame(rows, "chrom long, pos long, ind long, s1 double, s2 double, s3 double")
+    assert found(admixture.admixture_path(df, 0.5, width=7)) == sorted(want, key=repr)
+
 def test_ranks_and_numbers(spark):
     r = random.Random(4)
     values = [r.choice([None, 5, 5, 5, 1, 2, 9]) for _ in range(300)] + [7] * 300
