@@ -53,6 +53,30 @@ def test_inbreeding_equals_kinship_of_parents(spark):
     assert max(got.values()) > 0.5 and graphs.inbreeding(df.limit(0)).isEmpty()
 
 
+
+def test_values_of_pairs_are_not_stored(spark, monkeypatch):
+    """All pairs against the recursion, and their means; no stage on the way has as many rows as there are pairs."""
+    r = random.Random(7)
+    ped = [(i, None, None) for i in range(5)] + [(i, r.randrange(5), i // 2) for i in range(5, 240)] + [(240, 239, 239), (241, 240, 3)]
+    given = {(a, b): (a + b) % 3 / 4 for a in range(5) for b in range(5)}
+    df = spark.createDataFrame(ped, "id long, p1 long, p2 long").repartition(3)
+    founders = spark.createDataFrame([(a, b, v) for (a, b), v in given.items()], "a long, b long, value double")
+    rows, stored = [], graphs.stored
+    monkeypatch.setattr(graphs, "stored", lambda x: (y := stored(x), rows.append(y.count()))[0])
+    for own, start in ((0.0, given), (0.5, {(a, a): 0.5 for a in range(5)})):
+        v = dict(start)
+        for i, p, q in ped:
+            for j, *_ in ped[:i] if p is not None else ():
+                v[i, j] = v[j, i] = (v.get((p, j), 0.0) + v.get((q, j), 0.0)) / 2
+            if p is not None:
+                v[i, i] = own + v.get((p, q), 0.0) / 2
+        got = {(x["a"], x["b"]): x["value"] for x in (graphs.kinship(df) if own else graphs.pedigree_values(df, founders, own, people=50)).collect()}
+        assert len(got) == 242 * 243 // 2 and all(a <= b and abs(x - v.get((a, b), 0.0)) < 1e-12 for (a, b), x in got.items())
+    means = {x["id"]: x["mean"] for x in graphs.mean_kinship(df).collect()}
+    assert len(means) == 242 and all(abs(means[i] - sum(v.get((i, j), 0.0) for j in range(242)) / 242) < 1e-12 for i in means)
+    assert max(rows) < 242 * 243 // 8
+    assert graphs.kinship(df.limit(0)).isEmpty() and graphs.mean_kinship(df.limit(0)).isEmpty()
+
 def test_nested_bins(spark):
     r = random.Random(3)
     spans = [(k, k % 2, a, a + r.choice([0, 5, 63, 64, 700, 5000, 60_000, 1_000_000])) for k, a in enumerate(r.choices(range(300_000), k=120))] + [(500, 0, 10, 9), (501, 1, 0, 3_000_000)]
