@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.storage import stored
 from ..functions.tails import binomial_tails, hypergeometric_tails
-from .prefix import ranked
+from .prefix import numbered, ranked
 
 #: Categories that say nothing.
 NO_CATEGORY = ("", "U", "N")
@@ -48,17 +48,38 @@ def enrichment_report(rows: DataFrame) -> DataFrame:
     return told.select(F.col("k").alias("count"), "representation", "rank", "p_low", "p_high", "cat").orderBy(*order)
 
 
-#: Categories of a gene that are paired within one row.
+#: Categories that are paired within one row.
 BLOCK = 256
+#: Genes in a set of bits.
+BITS = 64
 
 
 def cooccurrence(membership: DataFrame, block: int = BLOCK) -> DataFrame:
     """Genes that two categories share.
 
+    Genes are taken ``BITS`` at a time. Where they have so few categories together that these make fewer pairs than the genes one by one, a category is the set of those
+    genes that have it, and a pair's genes are counted by the bits that two sets share; all other genes are paired one by one.
+    """
+    rows = stored(membership.select("gene", "cat").distinct())
+    sizes = rows.groupBy("gene").agg(F.count("*").alias("n"))
+    at = stored(numbered(sizes, "at", F.asc("gene")).select("gene", "n", F.floor(F.col("at") / BITS).alias("set"), (F.col("at") % BITS).cast("int").alias("bit")))
+    alone = at.groupBy("set").agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("alone"))
+    sets = rows.join(at, "gene").groupBy("set", "cat").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    together = sets.groupBy("set").agg(F.array_sort(F.collect_list(F.struct("cat", "bits"))).alias("c"))
+    together = stored(together.join(alone, "set").where((F.size("c") <= block) & (F.size("c") * (F.size("c") - 1) < F.col("alone"))).select("set", "c"))
+    shared = lambda x, y: F.bit_count(x["bits"].bitwiseAND(y["bits"])).cast("long")
+    within = F.flatten(F.transform("c", lambda x: F.transform(F.filter("c", lambda y: y["cat"] > x["cat"]), lambda y: F.struct(x["cat"].alias("c1"), y["cat"].alias("c2"), shared(x, y).alias("weight")))))
+    left = at.join(together.select("set"), "set", "left_anti").select("gene")
+    pairs = together.select(F.inline(within)).where("weight > 0").union(gene_pairs(rows.join(left, "gene"), block).select("c1", "c2", F.lit(1).cast("long").alias("weight")))
+    return pairs.groupBy("c1", "c2").agg(F.sum("weight").alias("weight"))
+
+
+def gene_pairs(rows: DataFrame, block: int) -> DataFrame:
+    """(gene, cat) -> (c1, c2) for each gene that has both.
+
     Pairs are formed within arrays of a gene's categories. A gene with more than ``block`` categories has them dealt to blocks of about that
     size by hash: pairs within a block as before, pairs across by a join of its blocks, so no row and no task holds all pairs of a gene.
     """
-    rows = membership.select("gene", "cat").distinct()
     wide = stored(rows.groupBy("gene").agg(F.count("*").alias("n")).where(F.col("n") > block))
     dealt = rows.join(wide, "gene", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / block), F.lit(1)))
     held = dealt.withColumn("block", F.pmod(F.xxhash64("cat"), F.col("blocks"))).groupBy("gene", "blocks", "block").agg(F.array_sort(F.collect_list("cat")).alias("c"))
@@ -69,7 +90,7 @@ def cooccurrence(membership: DataFrame, block: int = BLOCK) -> DataFrame:
         other = parts.select("gene", F.col("block").alias("next"), F.col("c").alias("d"))
         across = F.flatten(F.transform("c", lambda x: F.transform("d", lambda y: F.struct(F.least(x, y).alias("c1"), F.greatest(x, y).alias("c2")))))
         pairs = pairs.union(parts.join(other, "gene").where("block < next").select(F.inline(across)))
-    return pairs.groupBy("c1", "c2").agg(F.count("*").alias("weight"))
+    return pairs
 
 
 def clustering_coefficient(edges: DataFrame) -> DataFrame:

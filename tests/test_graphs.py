@@ -106,3 +106,21 @@ def test_cooccurrence_of_a_hot_gene(spark):
     df = spark.createDataFrame(rows, "gene string, cat string")
     for block in (3, 19, 256):
         assert {(x["c1"], x["c2"]): x["weight"] for x in enrichment.cooccurrence(df, block).collect()} == want
+
+
+def test_cooccurrence_counts_sets_of_genes(spark, monkeypatch):
+    """Genes that share most categories are counted 64 at a time; the pairs that are made are far fewer than the genes' own."""
+    r = random.Random(8)
+    rows = [(g, f"c{c}") for g in range(200) for c in r.sample(range(30), 24)] + [(g, f"d{g}-{i}") for g in range(200, 330) for i in range(3)]
+    want = {}
+    for g in range(330):
+        cats = sorted(c for h, c in rows if h == g)
+        for i, x in enumerate(cats):
+            for y in cats[i + 1 :]:
+                want[x, y] = want.get((x, y), 0) + 1
+    one, made = enrichment.gene_pairs, []
+    monkeypatch.setattr(enrichment, "gene_pairs", lambda *a: (y := one(*a), made.append(y.count()))[0])
+    got = enrichment.cooccurrence(spark.createDataFrame(rows, "gene long, cat string")).collect()
+    assert {(x["c1"], x["c2"]): x["weight"] for x in got} == want
+    assert made[0] < 200 * 24 * 23 // 2 // 4
+    assert enrichment.cooccurrence(spark.createDataFrame([], "gene long, cat string")).isEmpty()
