@@ -14,6 +14,7 @@ import numpy as np
 import pytest
 import xxhash
 from helpers import clashing, documents, rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -446,6 +447,46 @@ def test_lookalikes_are_left_alone(spark):
     assert [i for i in clean if spans[i]] == []
 
 
+def test_every_row_teaches(spark):
+    """The first 8,000 rows in hash order have no labelled span; those behind them have, and 200 spans each."""
+    order = F.row_number().over(Window.orderBy(F.xxhash64("id", F.lit(2)), "id"))
+    many = F.concat_ws("; ", *[F.concat(F.lit(f"call +{k % 9 + 1} (5{k % 10}7) 555-{1000 + k} from host 10.0.{k}.7 now, row 300.400."), F.col("id") % 200, F.lit(".1 of ten")) for k in range(60)])
+    new = F.lit("call (555) 123-4567 or so")
+    docs = spark.range(8040).select(F.col("id").alias("doc_id"), F.when(order > 8000, many).otherwise(new).alias("text"))
+    model = pii.fit_pii(docs)
+    assert {k for k in pii.KINDS if model.thresholds[k] < 1} == {"ip", "phone"}
+    assert pii.find_pii(docs.limit(8000), model).where(F.col("row.text") == new).select("redacted").distinct().collect() == [("call [PHONE] or so",)]
+
+
+def test_fit_on_all_rows_equals_a_fit_in_memory(spark, monkeypatch):
+    """Trees and thresholds, from sums on the driver and from sums by Spark, with any division of the rows."""
+    monkeypatch.setattr(pii, "TREES", 3)
+    rng = random.Random(8)
+    digits = lambda k: "".join(rng.choices("0123456789", k=k))
+    forms = [lambda: f"+{digits(2)} ({digits(3)}) {digits(rng.randrange(2, 9))}", lambda: f"host {digits(2)}.{digits(3)}.{digits(2)}.1", lambda: " ".join(digits(4) for _ in range(4)), lambda: f"a{digits(1)}@b.co", lambda: "word" * rng.randrange(9)]
+    table = [(i, " ".join(rng.choice(forms)() for _ in range(rng.choice([0, 1, 2, 5, 150])))) for i in range(120)]
+    docs = documents(spark, [*table, *table[:9], (900, None)])
+    x, y, held = [], [], []
+    for i, text in [*table, *table[:9]]:
+        known = pii.checked_matches(text, pii.base_spans(text))
+        for c, label in known + pii.labelled_parts(text, known):
+            x.append(pii.described(text, c))
+            y.append(label)
+            held.append(pii.row_hash(i, text) % 10 < 3)
+    x, y, held = np.array(x), np.array(y), np.array(held)
+    want = pii.PiiModel(pii.Trees().fit(x[~held], y[~held]), np.zeros(1), np.zeros(1), {})
+    want.calibrate(x[held, 0], want.place(x[held]), np.ones(held.sum(), "int64"), y[held])
+    for few, parts in ((pii.FEW_ROWS, 3), (0, 7)):
+        monkeypatch.setattr(pii, "FEW_ROWS", few)
+        got = pii.fit_pii(docs.repartition(parts))
+        for a, b in zip(got.trees.splits, want.trees.splits, strict=True):
+            assert all(np.allclose(np.nan_to_num(p), np.nan_to_num(q), rtol=1e-12) for p, q in zip(a, b, strict=True))
+        assert got.thresholds == want.thresholds
+        for i in range(len(pii.KINDS)):
+            if (true := (x[:, 0] == i) & (y > 0)).any():
+                assert (got.low[i] == x[x[:, 0] == i].min(axis=0)).all() and (got.high[i] == x[x[:, 0] == i].max(axis=0)).all() and (got.usual[i] == np.median(x[true], axis=0)).all()
+
+
 def test_a_store_that_renames(spark, tmp_path, monkeypatch):
     """Where no hard links are, versions are named by a rename that does not overwrite; a writer that dies before it leaves no version."""
     monkeypatch.setattr(sharding.ShardStore, "_name", lambda self, store, aside, final: self._rename(aside, final))
