@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -47,6 +48,8 @@ CONTEXT = 24
 SCALE, GRID, LIMIT = 1 << 24, 256, 16
 #: So many rows of bins with their counts (2 MB) may go to the driver.
 FEW_ROWS = 50_000
+#: Rows of bins that are summed at once.
+BLOCK = 16_384
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -220,12 +223,12 @@ class Trees:
     splits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)  # feature, threshold, leaf values
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return self.add(np.full(len(x), self.start), x)
-
-    def add(self, out: np.ndarray, x: np.ndarray, first: int = 0) -> np.ndarray:
-        """``out`` and, one behind the other, what the trees from the ``first`` say."""
-        for feature, threshold, leaves in self.splits[first:]:
-            out += leaves[nodes(x, feature, threshold, DEPTH) - (2**DEPTH - 1)]
+        out, rows = np.full(len(x), self.start), np.arange(len(x))
+        for feature, threshold, leaves in self.splits:
+            node = np.zeros(len(x), "int64")
+            for _ in range(DEPTH):
+                node = 2 * node + 1 + (x[rows, feature[node]] > threshold[node])
+            out += leaves[node - (2**DEPTH - 1)]
         return out
 
     def grow(self, share: float, sums: Sums) -> Trees:
@@ -266,33 +269,41 @@ Sums = Callable[[Trees, np.ndarray, np.ndarray, int], np.ndarray]
 QUANTILES = np.linspace(0, 1, CUTS + 1)[1:-1]
 
 
-def nodes(x: np.ndarray, feature: np.ndarray, threshold: np.ndarray, level: int) -> np.ndarray:
-    node, rows = np.zeros(len(x), "int64"), np.arange(len(x))
-    for _ in range(level):
-        node = 2 * node + 1 + (x[rows, feature[node]] > threshold[node])
-    return node
-
-
 def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
-    return np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)], axis=1).astype("uint8")
+    """The bins of each feature, feature by feature."""
+    return np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)]).astype("uint8")
 
 
 class Binned:
-    """Rows of bins with their labels and how often each occurs."""
+    """Rows of bins, feature by feature, with their labels and how often each occurs."""
 
     def __init__(self, bins: np.ndarray, y: np.ndarray, n: np.ndarray):
         self.bins, self.y, self.n = bins, y, n
         self.raw, self.trees = None, 0
 
+    def place(self, feature: np.ndarray, threshold: np.ndarray, level: int) -> np.ndarray:
+        """The node of each row in a level, from 0."""
+        node = np.zeros(len(self.y), "uint8")
+        for first in (2**x - 1 for x in range(level)):
+            goes = lambda k: self.bins[feature[k]] > np.uint8(min(threshold[k], 255))
+            right = goes(first)
+            for k in range(1, first + 1):
+                right = np.where(node == k, goes(first + k), right)
+            node = 2 * node + right
+        return node
+
     def sums(self, trees: Trees, feature: np.ndarray, threshold: np.ndarray, level: int) -> np.ndarray:
-        self.raw = trees.raw(self.bins) if self.raw is None else trees.add(self.raw, self.bins, self.trees)
+        self.raw = np.full(len(self.y), trees.start) if self.raw is None else self.raw
+        for f, t, leaves in trees.splits[self.trees :]:
+            self.raw += leaves[self.place(f, t, DEPTH)]
         self.trees = len(trees.splits)
         p = 1 / (1 + np.exp(-self.raw))
-        place = (nodes(self.bins, feature, threshold, level) - (2**level - 1))[:, None], np.arange(self.bins.shape[1]), self.bins
-        out = np.zeros((2, 2**level, self.bins.shape[1], CUTS), "int64")
+        features = len(self.bins)
+        cells = ((self.place(feature, threshold, level).astype("int64") * features + np.arange(features)[:, None]) * CUTS + self.bins).ravel()
+        out = np.zeros((2, 2**level * features * CUTS), "int64")
         for part, each in zip(out, (self.y - p, p * (1 - p)), strict=True):
-            np.add.at(part, place, (np.rint(each * SCALE).astype("int64") * self.n)[:, None])
-        return out
+            np.add.at(part, cells, np.tile(np.rint(each * SCALE).astype("int64") * self.n, features))
+        return out.reshape(2, 2**level, features, CUTS)
 
 
 @dataclass
@@ -354,28 +365,41 @@ def described_in(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().reshape(-1, N_FEATURES)
 
 
-def split_sums(rows: DataFrame) -> Sums:
-    """Of rows of bins, counted. Sums are of whole numbers, so they are the same wherever they are taken."""
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of bins, labels and counts; some ``BLOCK`` of them become one row of numbers behind each other."""
+    held: list[pa.RecordBatch] = []
+    for b in itertools.chain(batches, [None]):
+        held += [b] if b else []
+        if (size := sum(x.num_rows for x in held)) >= BLOCK or (b is None and size):
+            bins = np.frombuffer(b"".join(r for x in held for r in x.column(0).to_pylist()), "uint8").reshape(-1, N_FEATURES).T
+            y, n = (np.concatenate([x.column(k).to_numpy() for x in held]).astype("int64") for k in (1, 2))
+            yield pa.RecordBatch.from_arrays([pa.array([size]), *(pa.array([v.tobytes()], pa.binary()) for v in (bins, y, n))], ["size", "bins", "y", "n"])
+            held = []
+
+
+def split_sums(blocks: DataFrame) -> Sums:
+    """Of packed rows of bins. Sums are of whole numbers, so they are the same wherever they are taken."""
 
-    def block(bins: pa.Array, y: pa.Array, n: pa.Array) -> Binned:
-        return Binned(np.frombuffer(b"".join(bins.to_pylist()), "uint8").reshape(-1, N_FEATURES), y.to_numpy(), n.to_numpy())
+    def block(row: dict) -> Binned:
+        return Binned(np.frombuffer(row["bins"], "uint8").reshape(N_FEATURES, -1), np.frombuffer(row["y"], "int64"), np.frombuffer(row["n"], "int64"))
 
-    if rows.count() <= FEW_ROWS:
-        return block(*rows.toArrow().combine_chunks().to_batches()[0].columns).sums
+    if blocks.agg(F.sum("size")).first()[0] <= FEW_ROWS:
+        few = [block(r) for r in blocks.collect()]
+        return Binned(np.concatenate([b.bins for b in few], axis=1), np.concatenate([b.y for b in few]), np.concatenate([b.n for b in few])).sums
 
     def sums(trees: Trees, feature: np.ndarray, threshold: np.ndarray, level: int) -> np.ndarray:
         shape = (2, 2**level, N_FEATURES, CUTS)
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(shape, "int64")
-            for b in batches:
-                total += block(*b.columns).sums(trees, feature, threshold, level)
+            for r in (r for b in batches for r in b.to_pylist()):
+                total += block(r).sums(trees, feature, threshold, level)
             g, h = total.reshape(2, -1)
             cells = np.flatnonzero(h | g)
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in (cells, g[cells], h[cells])], ["cell", "g", "h"])
 
         out = np.zeros((2, math.prod(shape[1:])), "int64")
-        for r in rows.mapInArrow(add, "cell long, g long, h long").groupBy("cell").agg(F.sum("g"), F.sum("h")).collect():  # at most a row per node, feature and bin
+        for r in blocks.mapInArrow(add, "cell long, g long, h long").groupBy("cell").agg(F.sum("g"), F.sum("h")).collect():  # at most a row per node, feature and bin
             out[:, r[0]] = r[1:]
         return out.reshape(shape)
 
@@ -403,10 +427,11 @@ def fit_spans(spans: DataFrame) -> PiiModel:
     def in_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             bins = binned(described_in(b.column(0)), edges)
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in bins], pa.binary()), b.column(1), b.column(2)], ["bins", "y", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in bins.T], pa.binary()), b.column(1), b.column(2)], ["bins", "y", "n"])
 
-    rows = cut(forms.where(taught).select("x", "y", "n").mapInArrow(in_bins, "bins binary, y int, n long").groupBy("bins", "y").agg(F.sum("n").alias("n")), "bins")
-    model.trees = Trees().grow(of[1] / (of[0] + of[1]), split_sums(rows)).unbinned(edges)
+    rows = forms.where(taught).select("x", "y", "n").mapInArrow(in_bins, "bins binary, y int, n long").groupBy("bins", "y").agg(F.sum("n").alias("n"))
+    blocks = cut(rows.mapInArrow(packed, "size long, bins binary, y binary, n binary"), "bins")
+    model.trees = Trees().grow(of[1] / (of[0] + of[1]), split_sums(blocks)).unbinned(edges)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
