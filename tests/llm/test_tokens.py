@@ -1,6 +1,7 @@
 """Packing and token files."""
 
 import random
+import re
 import zlib
 from functools import lru_cache
 
@@ -61,6 +62,31 @@ def test_slices_bound_their_texts(monkeypatch):
     assert [x.column(0).to_pylist() for x in tokens.slices(iter([b]))] == [[1, 2], [3], [4, 5]]
 
 
+def resident_mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"\nAnonymous:\s+(\d+)", f.read())[1]) / 1024
+
+
+def test_slices_give_back_what_was_freed():
+    left = [bytes(4000) for _ in range(20_000)]  # as an earlier task's
+    last = left.pop()  # it holds the end of the heap, so the allocator keeps the rest
+    del left
+    before = resident_mb()
+    b = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b", "c"])], ["doc_id", "text"])
+    assert [x.num_rows for x in tokens.slices(iter([b]))] == [2]
+    assert resident_mb() < before - 40, len(last)
+
+
+def test_words_of_the_memo_are_copied_only_as_texts_need_them(monkeypatch):
+    e = tokens.Encoder(BYTE)
+    e.batch(pa.array([" ".join(f"w{i}x" for i in range(3000))]), 0)
+    most, joined = [], tokens.Runs.joined
+    monkeypatch.setattr(tokens.Runs, "joined", staticmethod(lambda parts: most.append(len((x := joined(parts)).lengths)) or x))
+    monkeypatch.setattr(e, "_remember", lambda *_: None)
+    text = "a w7x b w7x w2999x, new"
+    assert e.batch(pa.array([text]), 0)[0].tolist() == [*ids(BYTE, text), 0] and max(most) < 20
+
+
 def check_packed(rows, capacity):
     by = {}
     for r in rows:
