@@ -23,9 +23,11 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress, pairwise
 
 import numpy as np
 import pandas as pd
@@ -36,13 +38,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches, table, tasks, text_or_empty
-from .tokens import run_places
+from .tokens import distinct, run_places, strings
 
 TERM = re.compile(r"[^\W\d_]+")
+NO_LETTERS = string.punctuation + string.digits
 MAX_EXAMPLES = 1500
 CHANCE = 5.5  # one term in a million is that far from its expectation by chance, roughly
 K, NEAR, BLOCK, FIRST_BLOCKS = 10, 0.1, 64, 3
-MEMO, TERMS, TEXTS = 5_000, 200_000, 64
+MEMO, TEXTS, SLICE_BYTES = 5_000, 250, 1 << 20
 HASHES = (2654435761, 2246822519, 3266489917)  # odd multipliers
 EVIDENCE = "score double, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>"
 
@@ -68,45 +71,62 @@ def term_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Vocabulary:
-    """Places of terms among hashes in order, -1 for others; what was met is remembered, at most ``TERMS`` terms."""
+    """Places of terms among hashes in order."""
 
     def __init__(self, hashes: np.ndarray):
-        self.hashes, self.memo, self.several = hashes, {}, {}
-
-    def _add(self, words: set[str]) -> None:
-        """Remembers the place of each word's term; words that hold no term or several get their places in ``several``."""
-        terms = [TERM.findall(w) for w in words]
-        flat = [t for ts in terms for t in ts]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in flat), "uint64", len(flat))
-        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
-        places = iter((np.where(self.hashes[at] == hashes, at, -1) if len(self.hashes) else np.full(len(flat), -1)).tolist())
-        for w, ts in zip(words, terms, strict=True):
-            if len(ts) == 1:
-                self.memo[w] = next(places)
-            else:
-                held = [x for x in (next(places) for _ in ts) if x >= 0]
-                self.memo[w] = -2 if held else -1
-                if held:
-                    self.several[w] = held
+        self.hashes = hashes
+
+    def place(self, terms: list[str]) -> np.ndarray:
+        """-1 for a term that is not there."""
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, terms), "uint64", len(terms))  # of UTF-8
+        at = np.searchsorted(self.hashes, hashes)
+        at[at == len(self.hashes)] = 0
+        return np.where(self.hashes[at] == hashes, at, -1) if len(self.hashes) else np.full(len(terms), -1)
+
+    def word_terms(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the known terms in words, and where each word's run of them begins and how long it is."""
+        stems, stem = distinct(pc.utf8_trim(words, NO_LETTERS))
+        texts = list(map(str.lower, strings(stems)))
+        alone = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        rest = [(i, t) for i in np.flatnonzero(~alone).tolist() for t in TERM.findall(texts[i])]
+        of = np.r_[np.flatnonzero(alone), np.array([i for i, _ in rest], "int64")]
+        place = self.place(list(compress(texts, alone.tolist())) + [t for _, t in rest])
+        order = np.flatnonzero(place >= 0)
+        order = order[np.argsort(of[order], kind="stable")]
+        lengths = np.bincount(of[order], minlength=len(texts))
+        return place[order], (np.cumsum(lengths) - lengths)[stem], lengths[stem]
+
+    def found(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of the text, place of a term, how often it occurs there), in order."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))  # white space is in no term; other letters are lowered word by word
+        words, word = distinct(split.flatten())
+        place, starts, lengths = self.word_terms(words)
+        text = np.repeat(np.arange(len(texts)) * len(self.hashes), pc.list_value_length(split).to_numpy())
+        key = np.repeat(text, lengths[word]) + place[run_places(starts[word], lengths[word])]
+        key.sort()
+        new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        return *np.divmod(key[new], max(1, len(self.hashes))), np.diff(np.r_[new, len(key)])
 
     def places(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text, the places of its distinct terms, in order, and how often each occurs."""
-        found = [Counter(t.lower().split()) for t in texts]  # white space is in no term
-        if len(self.memo) > TERMS:
-            self.memo, self.several = {}, {}
-        self._add(set().union(*found).difference(self.memo))
         out = []
-        for c in found:
-            place, n = np.fromiter(map(self.memo.__getitem__, c), "int64", len(c)), np.fromiter(c.values(), "int64", len(c))
-            if len(place) and place.min() == -2:
-                more = [(x, k) for w, k in c.items() if w in self.several for x in self.several[w]]
-                place, n = np.r_[place, [x for x, _ in more]], np.r_[n, [k for _, k in more]]
-            known, at = np.unique(place, return_inverse=True)
-            n, first = np.bincount(at, n, len(known)), np.searchsorted(known, 0)
-            out.append((known[first:], n[first:]))
+        for part in slices(pa.array(texts, pa.string())):
+            text, place, n = self.found(part)
+            cuts = np.searchsorted(text, np.arange(len(part) + 1)).tolist()
+            out += [(place[a:b], n[a:b]) for a, b in pairwise(cuts)]
         return out
 
 
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Of at most ``TEXTS`` texts, and ``SLICE_BYTES`` bytes if more than one."""
+    sizes, at = np.cumsum(pc.binary_length(texts).to_numpy()), 0
+    while at < len(texts):
+        end = int(np.searchsorted(sizes, SLICE_BYTES + (sizes[at - 1] if at else 0), "right"))
+        end = min(max(end, at + 1), at + TEXTS)
+        yield texts.slice(at, end - at)
+        at = end
+
+
 def copies_key(hashes: np.ndarray) -> tuple[int, ...]:
     low = hashes & np.uint64(0xFFFFFFFF)
     return tuple(int((low * np.uint64(m) & np.uint64(0xFFFFFFFF)).min()) for m in HASHES) if len(hashes) else ()
@@ -249,9 +269,8 @@ def document_frequencies(texts: DataFrame, terms: np.ndarray) -> tuple[int, np.n
         vocabulary = Vocabulary(held.value)
         seen, n = np.zeros(len(terms), "int64"), 0
         for b in batches:
-            for at in range(0, b.num_rows, TEXTS):
-                for place, _ in vocabulary.places(b.column(0).slice(at, TEXTS).to_pylist()):
-                    seen[place] += 1
+            for part in slices(b.column(0)):
+                seen += np.bincount(vocabulary.found(part)[1], minlength=len(terms))
             n += b.num_rows
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some], pa.int32()), pa.array(np.r_[n, seen[some]])], ["t", "n"])

@@ -211,6 +211,33 @@ def test_vocabulary_finds_the_terms_of_texts():
         assert terms[place].tolist() == h[known].tolist() and n.tolist() == c[known].tolist()
 
 
+def test_vocabulary_lowers_words_as_texts():
+    """Letters whose lower case hangs on what stands around them, marks that stay in words, and white space of all kinds."""
+    rng = random.Random(2)
+    odd = "aΣςİIıẞßǅΑ'.:·_1²½Ⅷ\u0301\u0345\u00ad\u200b\ufeff \t\x0b\x1c\x85\xa0\u2028\u3000\x00,-中😀"
+    texts = ["".join(rng.choices(odd, k=rng.randint(0, 30))) for _ in range(3000)]
+    terms = np.unique(np.concatenate([toxicity.term_counts(t)[0] for t in texts[::2]]))
+    for x, (place, n) in zip(texts, toxicity.Vocabulary(terms).places(texts), strict=True):
+        h, c = toxicity.term_counts(x)
+        known = np.isin(h, terms)
+        assert terms[place].tolist() == h[known].tolist() and n.tolist() == c[known].tolist()
+
+
+def test_vocabulary_looks_up_each_word_of_a_slice_once(monkeypatch):
+    """However many texts hold it, in whatever case and between whatever marks; slices are bounded, and long words leave nothing behind."""
+    looked_up, place = [], toxicity.Vocabulary.place
+    monkeypatch.setattr(toxicity.Vocabulary, "place", lambda self, terms: looked_up.append(len(terms)) or place(self, terms))
+    words = [f"{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    terms = np.unique(np.concatenate([toxicity.term_counts(w)[0] for w in words[::2]]))
+    texts = [" ".join(f"({w}," if i % 2 else w.upper() for w in words) for i in range(2 * toxicity.TEXTS)]
+    vocabulary = toxicity.Vocabulary(terms)
+    assert [(len(p), n.tolist()) for p, n in vocabulary.places(texts)] == [(50, [1] * 50)] * len(texts)
+    assert looked_up == [100, 100]
+    monkeypatch.setattr(toxicity, "SLICE_BYTES", 5000)
+    assert len(vocabulary.places(["x" * 4000] * 3 + ["y" * 9000, "", "ab aa"])) == 6 and looked_up[2:] == [1, 1, 1, 1, 2]
+    assert list(vars(vocabulary)) == ["hashes"]
+
+
 def test_emphasis_leaves_chance_alone():
     rng = np.random.default_rng(0)
     toxic, other = rng.binomial(1500, 0.01, 100_000), rng.binomial(1500, 0.01, 100_000)
