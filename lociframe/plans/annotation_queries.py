@@ -131,13 +131,13 @@ def allele_codes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH c AS (SELECT p_partkey AS k, CASE p_partkey % 3 WHEN 0 THEN 'chr' WHEN 1 THEN 'r' ELSE '' END || p_size AS chrom, p_retailprice::BIGINT AS pos FROM part)
-    SELECT k, chrom, CAST(row_number() OVER (ORDER BY ltrim(chrom, 'chr'), pos, k) AS BIGINT) AS place FROM c WHERE ltrim(chrom, 'chr') = '7' OR k % 50 = 0""")
+    SELECT k, chrom, CAST(row_number() OVER (ORDER BY ltrim(chrom, 'chr'), pos, k) AS BIGINT) AS place FROM c""")
 def site_order(spark: SparkSession, d: str) -> DataFrame:
-    """Places of sites in the order of chromosome names without c, h and r before them, and positions."""
+    """Places of all sites in the order of chromosome names without c, h and r before them, and positions; nulls come last."""
     k = F.col("p_partkey")
     chrom = F.concat(F.when(k % 3 == 0, "chr").when(k % 3 == 1, "r").otherwise(""), F.col("p_size").cast("string"))
-    rows = load(spark, d, "part").select(k.alias("k"), chrom.alias("chrom"), F.rint("p_retailprice").cast("long").alias("pos")).withColumn("key", chromosome_key(F.col("chrom"))).where("key = '7' OR k % 50 = 0")
-    return numbered(rows, "at", F.asc("key"), F.asc("pos"), F.asc("k")).select("k", "chrom", (F.col("at") + 1).alias("place"))
+    rows = load(spark, d, "part").select(k.alias("k"), chrom.alias("chrom"), F.rint("p_retailprice").cast("long").alias("pos")).withColumn("key", chromosome_key(F.col("chrom")))
+    return numbered(rows, "at", F.asc_nulls_last("key"), F.asc_nulls_last("pos"), F.asc_nulls_last("k")).select("k", "chrom", (F.col("at") + 1).alias("place"))
 
 
 @query("""WITH t AS (SELECT p_partkey AS k, p_name AS name, CASE p_partkey % 4 WHEN 0 THEN p_size || '%' WHEN 1 THEN p_size * 3 || '%' WHEN 2 THEN p_size::VARCHAR ELSE p_name END AS bound, 'p' || p_size || '=' || p_brand || '.q' || p_partkey AS codes FROM part)

@@ -51,3 +51,15 @@ def test_site_order_rounds_halves_to_even(spark, duck, tmp_path):
     own = duckdb.connect()
     own.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet'")
     assert sorted(map(tuple, QUERIES["site_order"](spark, str(tmp_path)).collect())) == sorted(own.sql(SQL["site_order"]).fetchall())
+
+
+def test_site_order_places_every_site(spark, duck, small, tmp_path):
+    """Sites of all chromosomes have a place; rows without size, price or key come last, as in SQL."""
+    rows = QUERIES["site_order"](spark, small).collect()
+    assert sorted(r["k"] for r in rows) == sorted(k for (k,) in duck.sql("SELECT p_partkey FROM part").fetchall())
+    assert sorted(r["place"] for r in rows) == list(range(1, len(rows) + 1))
+    own = duckdb.connect()
+    own.sql(f"COPY (SELECT nullif(i, 31) AS p_partkey, CASE WHEN i % 9 > 0 THEN i % 13 END::INTEGER AS p_size, CASE WHEN i % 7 > 0 THEN (i * 37 % 40) / 2.0::DOUBLE END AS p_retailprice FROM range(120) r(i)) TO '{tmp_path}/part.parquet'")
+    own.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet'")
+    got = [tuple(r) for r in QUERIES["site_order"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted(own.sql(SQL["site_order"]).fetchall(), key=repr) and len(got) == 120
