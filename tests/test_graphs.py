@@ -38,6 +38,16 @@ def test_paths_from_more_origins_than_bits(spark):
     assert set(got) == {"a", "b"}
 
 
+def test_blocks_of_pairs_are_shuffled_once(spark):
+    """A block of people is one row on each side of the product, however many other blocks it meets, and each pair comes once."""
+    ped = spark.createDataFrame([(i, None, None) for i in range(5)] + [(i, i % 5, i // 2) for i in range(5, 600)], "id long, p1 long, p2 long")
+    pairs = graphs.pedigree_values(ped, graphs.unrelated(ped), 0.5, people=20)
+    assert pairs.count() == 600 * 601 // 2 == pairs.select("a", "b").distinct().count()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan  # no row for each two blocks
+    assert graphs.DEALT ** 2 <= 10_000
+
+
 def test_inbreeding_equals_kinship_of_parents(spark):
     r = random.Random(2)
     ped = [(i, None, None) for i in range(6)] + [(i, *r.sample(range(max(0, i - 9), i), 2)) for i in range(6, 60)]
